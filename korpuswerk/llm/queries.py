@@ -8,20 +8,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, decontaminate, pii, simhash, urls
+
+
+#: The rules of op9: verdict, host, path.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words in occurrences of benchmark windows."""
+    return decontaminate.report(decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and component."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's spans of personal data."""
+    return pii.report(pii.spans(_table(spark, sf_dir, "documents")))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict. A page's outcome is bad if the label of its number says low quality or toxic."""
+    outcomes = _table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("bad"))
+    judged = urls.judge(_table(spark, sf_dir, "pages"), outcomes, URL_RULES, outcome_key="doc_id")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and the decoded bytes, as digests."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     both = bpe.decode(bpe.encode(docs, *vocabulary), *vocabulary)
     return both.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_byte_level_bpe,)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op7_simhash_near_dedup, op8_pii, op9_url_filters, op10_byte_level_bpe)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    return {"op1_benchmark_decontamination": decontaminate.ORACLE, "op9_url_filters": urls.ORACLE.format(rules=rules)}
