@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, simhash, urls
+from . import bpe, ctw, decontaminate, fitting, linededup, pii, quality, simhash, toxicity, urls
 
 
 #: The rules of op9: verdict, host, path.
@@ -24,6 +24,34 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(decontaminate.overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability by a model of the documents that are not held out."""
+    return ctw.score(_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    seen = fitting.sample(docs, labels, "toxic", ~ctw.held_out(F.col("doc_id"), 4, 2), toxicity.MOST, toxicity.LONGEST)
+    return _predicted(toxicity.score(docs, toxicity.train(seen)), 4, 2)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels that are not held out."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    seen = fitting.sample(docs, labels, "quality", ~ctw.held_out(F.col("doc_id"), 5, 0), quality.MOST, quality.LONGEST, more=("n_chars",))
+    return _predicted(quality.score(docs, quality.train(seen)), 5, 0)
+
+
+def _predicted(scored: DataFrame, mod: int, rest: int) -> DataFrame:
+    return scored.select("doc_id", ctw.held_out(F.col("doc_id"), mod, rest).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's dropped lines and what stays."""
+    return linededup.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and component."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -50,9 +78,9 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op7_simhash_near_dedup, op8_pii, op9_url_filters, op10_byte_level_bpe)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op6_line_dedup, op7_simhash_near_dedup, op8_pii, op9_url_filters, op10_byte_level_bpe)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
-    return {"op1_benchmark_decontamination": decontaminate.ORACLE, "op9_url_filters": urls.ORACLE.format(rules=rules)}
+    return {"op1_benchmark_decontamination": decontaminate.ORACLE, "op6_line_dedup": linededup.ORACLE, "op9_url_filters": urls.ORACLE.format(rules=rules)}
