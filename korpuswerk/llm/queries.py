@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, decontaminate, fitting, linededup, pii, quality, simhash, toxicity, urls
+from . import ann, bpe, ctw, decontaminate, fitting, linededup, pii, quality, simhash, toxicity, urls
 
 
 #: The rules of op9: verdict, host, path.
@@ -47,6 +47,11 @@ def _predicted(scored: DataFrame, mod: int, rest: int) -> DataFrame:
     return scored.select("doc_id", ctw.held_out(F.col("doc_id"), mod, rest).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of each vector whose id is divisible by 20."""
+    return ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's dropped lines and what stays."""
     return linededup.report(_table(spark, sf_dir, "documents"))
@@ -78,7 +83,7 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op6_line_dedup, op7_simhash_near_dedup, op8_pii, op9_url_filters, op10_byte_level_bpe)}
+    return {f.__name__: f for f in (op1_benchmark_decontamination, op2_lm_scoring, op3_toxicity, op4_quality_classifier, op5_nearest_neighbours, op6_line_dedup, op7_simhash_near_dedup, op8_pii, op9_url_filters, op10_byte_level_bpe)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
