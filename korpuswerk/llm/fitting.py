@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,4 +20,15 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, most: i
     chosen = F.broadcast(parts[0].union(parts[1]))  # at most twice `most` rows of two numbers
     texts = docs.select(docs[key].alias("k"), F.struct(docs[text].cast("string").alias("text"), *[docs[c].alias(c) for c in more]).alias("r")).where(docs[text].isNotNull() & (F.length(docs[text]) <= longest))
     found = texts.join(chosen, "k").groupBy("k").agg(F.min("r").alias("r"), F.max("y").alias("y"))
-    return found.select("k", "r.*", "y").toPandas().sort_values("k", kind="stable").reset_index(drop=True)
+    out = found.select("k", "r.*", "y").toPandas().sort_values("k", kind="stable").reset_index(drop=True)
+    # how often the class really occurs among the labels read, as the sample may be more even
+    out.attrs["share"] = named.agg(F.avg("y")).first()[0]
+    return out
+
+
+def shift(texts: pd.DataFrame, y: np.ndarray) -> float:
+    """What to add to log odds fitted to the sample's class share to get those at the share among all labels."""
+    share = texts.attrs.get("share")
+    if not share or share >= 1 or not 0 < y.mean() < 1:
+        return 0.0
+    return float(np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean())))

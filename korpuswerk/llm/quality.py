@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fitting import shift
 from .runtime import LOWER, NOT_SPACE, Hasher, byte_class, passes, utf8, words
 
 BUCKETS, RANK = 1 << 15, 8
@@ -122,7 +123,7 @@ def train(texts: pd.DataFrame, rounds: int = 12, rate: float = 0.02, decay: floa
                 m2 += 0.001 * (d * d - m2)
                 p -= rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
     # scores are of the classes as they occur, not of the balanced ones
-    m.bias += float(np.log(y.mean() / (1 - y.mean())))
+    m.bias += float(np.log(y.mean() / (1 - y.mean()))) + shift(texts, y)
     return m
 
 

@@ -17,13 +17,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .fitting import shift
 from .runtime import LOWER, WORDLIKE, Hasher, mix, passes, utf8, words
 
 WIDTH, STEP = 32, 24
 WORDS, GRAMS, DIM, HIDDEN, ATTEND = 1 << 13, 1 << 14, 16, 10, 8
 SIZES = (3, 5)
 #: At most so many texts of each class are trained on, none longer than this many characters.
-MOST, LONGEST = 2500, 20_000
+MOST, LONGEST = 1500, 20_000
 BLOCK = 2048
 
 
@@ -196,7 +197,7 @@ def _join(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
 
 
-def train(texts: pd.DataFrame, rounds: int = 14, rate: float = 0.01, batch: int = 256, seed: int = 5) -> Network:
+def train(texts: pd.DataFrame, rounds: int = 10, rate: float = 0.01, batch: int = 256, seed: int = 5) -> Network:
     """Fit a network to a frame of text and y. With one class only (or no text) all scores are that class's share."""
     y = texts["y"].to_numpy(float)
     net, rng = Network(seed), np.random.default_rng(seed)
@@ -212,7 +213,7 @@ def train(texts: pd.DataFrame, rounds: int = 14, rate: float = 0.01, batch: int
         rank[order] = np.arange(len(order)) - t.bounds[:-1][t.row[order]]
         label = y[t.row]
         # of toxic texts at first several windows, then the worst one; of others also some by chance
-        chosen = np.flatnonzero(np.where(label == 1, rank < (4 if k < 2 else 2 if k < 5 else 1), (rank < 2) | (rng.random(len(rank)) < 0.05)))
+        chosen = np.flatnonzero(np.where(label == 1, rank < (4 if k < 2 else 2 if k < 5 else 1), (rank < 2) | (rng.random(len(rank)) < 0.02)))
         share = label[chosen].mean()
         weight = np.where(label[chosen] == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.7
         mixed = rng.permutation(len(chosen))
@@ -232,6 +233,7 @@ def train(texts: pd.DataFrame, rounds: int = 14, rate: float = 0.01, batch: int
         q = _sigmoid(np.clip(worst * net.scale + net.shift, -30, 30)) - y
         net.shift -= 0.5 * q.mean()
         net.scale = max(0.1, net.scale - 0.05 * float((q * worst).mean()))
+    net.shift += shift(texts, y)
     return net
 
 
