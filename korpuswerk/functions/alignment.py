@@ -13,59 +13,126 @@ from pyspark.sql import types as T
 GROUP = 4
 #: What each further token of a group costs.
 FURTHER = 1.5
-#: How far from the diagonal a long pair of lists is searched, beyond the difference of their lengths.
-BAND = 24
+#: How far from the diagonal a pair of lists is searched at first, beyond the difference of their lengths.
+BAND = 4
+#: Tokens that must agree for two lists to run alike again.
+SAME = 3
+_MOVES = [(1, 1), *[(k, 1) for k in range(2, GROUP + 1)], *[(1, k) for k in range(2, GROUP + 1)], (1, 0), (0, 1)]
 
 
 @lru_cache(1 << 16)
 def edits(a: str, b: str) -> int:
-    """Levenshtein distance in code points."""
+    """Levenshtein distance in code points, a column of the table as the bits of a number."""
     if a == b:
         return 0
-    if len(a) < len(b):
-        a, b = b, a
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    if not a or not b:
+        return len(a) + len(b)
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, out = full, 0, len(a)
+    for x in b:
+        eq = at.get(x, 0)
+        v = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        plus = down | (full & ~(h | up))
+        minus = up & h
+        out += bool(plus & last) - bool(minus & last)
+        plus = (plus << 1 | 1) & full
+        minus = minus << 1 & full
+        up = minus | (full & ~(v | plus))
+        down = plus & v
+    return out
 
 
 def align_tokens(src: list[str], trg: list[str]) -> list[list[int | None]]:
     """Monotone alignment of least cost. A group of k tokens on one side and one on the other costs the edit distance of
-    their texts and FURTHER for each token beyond the first; a token left alone costs its length."""
-    if src == trg:
-        return [[i, i] for i in range(len(src))]
+    their texts and FURTHER for each token beyond the first; a token left alone costs its length.
+
+    Where the lists run alike they are paired without a search. From where they part (and the token before) up to where SAME
+    tokens agree again (and the first of these) the least cost is searched for.
+    """
+    out: list[list[int | None]] = []
+    i = j = 0
+    n, m = len(src), len(trg)
+    while i < n or j < m:
+        while i < n and j < m and src[i] == trg[j]:
+            out.append([i, j])
+            i, j = i + 1, j + 1
+        if i == n and j == m:
+            break
+        a, b = _meet(src, trg, i, j)
+        if out and i and j and out[-1] == [i - 1, j - 1]:
+            out.pop()
+            i, j = i - 1, j - 1
+        if a < n and b < m:
+            a, b = a + 1, b + 1
+        out += [[x if x is None else x + i, y if y is None else y + j] for x, y in _search(src[i:a], trg[j:b])]
+        i, j = a, b
+    return out
+
+
+def _meet(src: list[str], trg: list[str], i: int, j: int) -> tuple[int, int]:
+    """The nearest places from i and j on where the next SAME tokens (or all that are left) agree; the ends if none do."""
+    n, m, far = len(src), len(trg), 8
+    while True:
+        for d in range(1, 2 * far + 1):
+            for x in range(max(0, d - far), min(d, far) + 1):
+                a, b = i + x, j + d - x
+                if a <= n and b <= m and src[a : a + SAME] == trg[b : b + SAME] and (a < n or b == m):
+                    return a, b
+        if far >= max(n - i, m - j):
+            return n, m
+        far *= 2
+
+
+def _search(src: list[str], trg: list[str]) -> list[list[int | None]]:
+    """Only a band around the diagonal is searched. Each step off the diagonal costs one at least, so a path that leaves the
+    band costs twice its width; the band is doubled until what was found costs no more."""
+    width = BAND
+    while True:
+        cost, out = _banded(src, trg, width)
+        if cost <= 2 * width or width >= max(len(src), len(trg)):
+            return out
+        width *= 2
+
+
+def _banded(src: list[str], trg: list[str], width: int) -> tuple[float, list[list[int | None]]]:
     n, m = len(src), len(trg)
-    moves = [(1, 1), *[(k, 1) for k in range(2, GROUP + 1)], *[(1, k) for k in range(2, GROUP + 1)], (1, 0), (0, 1)]
-    reach = abs(n - m) + BAND
-    best: list[dict[int, tuple[float, tuple[int, int]]]] = [{} for _ in range(n + 1)]
-    best[0][0] = (0.0, (0, 0))
+    reach = abs(n - m) + width
+    cats = [[["".join(x[i - k : i]) if k <= i else "" for k in range(GROUP + 1)] for i in range(len(x) + 1)] for x in (src, trg)]
+    lens = [[[len(t) for t in row] for row in c] for c in cats]
+    infinite = float("inf")
+    best: list[dict[int, float]] = [{} for _ in range(n + 1)]
+    via: list[dict[int, tuple[int, int]]] = [{} for _ in range(n + 1)]
+    best[0][0] = 0.0
     for i in range(n + 1):
+        row, way = best[i], via[i]
         for j in range(max(0, i - reach), min(m, i + reach) + 1):
-            if not i and not j:
-                continue
-            found = None
-            for a, b in moves:
-                if a > i or b > j or (before := best[i - a].get(j - b)) is None:
+            found, move = (0.0, (0, 0)) if not i and not j else (infinite, (0, 0))
+            for a, b in _MOVES if i or j else ():
+                if a > i or b > j:
+                    continue
+                c = best[i - a].get(j - b, infinite)
+                if c >= found:
                     continue
-                if a and b:
-                    cost = edits("".join(src[i - a : i]), "".join(trg[j - b : j])) + FURTHER * (a + b - 2)
-                else:
-                    cost = len(src[i - 1]) if a else len(trg[j - 1])
-                if found is None or before[0] + cost < found[0]:
-                    found = (before[0] + cost, (a, b))
-            if found:
-                best[i][j] = found
+                x, y = lens[0][i][a], lens[1][j][b]
+                c += FURTHER * (a + b - 2) if a and b else 0
+                if c + abs(x - y) >= found:
+                    continue
+                c += edits(cats[0][i][a], cats[1][j][b]) if a and b else x + y
+                if c < found:
+                    found, move = c, (a, b)
+            row[j], way[j] = found, move
     out: list[list[int | None]] = []
     i, j = n, m
     while i or j:
-        a, b = best[i][j][1]
+        a, b = via[i][j]
         pairs = [[x, y] for x in range(i - a, i) for y in range(j - b, j)] if a and b else [[i - 1, None]] if a else [[None, j - 1]]
-        out[:0] = pairs
+        out += pairs[::-1]
         i, j = i - a, j - b
-    return out
+    return best[n][m], out[::-1]
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))

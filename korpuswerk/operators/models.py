@@ -69,10 +69,15 @@ def _most(votes: dict[str, Column]) -> Column:
     return F.when(best > 0, F.coalesce(*[F.when(v == best, F.lit(k)) for k, v in votes.items()]))
 
 
+def _common(tok: Column, language: str) -> Column:
+    """How many of the tokens are function words of the language."""
+    return F.size(F.filter(tok, lambda t: t.isin(COMMON_WORDS[language])))
+
+
 def by_words(text: Column) -> Column:
     """By how many function words of each language there are."""
     tok = F.split(F.lower(text), r"(?U)[^\p{L}]+")
-    return _most({k: F.size(F.filter(tok, lambda t, w=w: t.isin(w))) for k, w in COMMON_WORDS.items()})
+    return _most({k: _common(tok, k) for k in COMMON_WORDS})
 
 
 def by_letters(text: Column) -> Column:
@@ -83,7 +88,7 @@ def by_letters(text: Column) -> Column:
 def by_share(text: Column) -> Column:
     """By the share of function words, counted only from a tenth on."""
     tok = F.split(F.lower(text), r"(?U)[^\p{L}]+")
-    return _most({k: F.when(F.size(F.filter(tok, lambda t, w=w: t.isin(w))) * 10 >= F.size(tok), F.size(F.filter(tok, lambda t, w=w: t.isin(w)))).otherwise(0) for k, w in COMMON_WORDS.items()})
+    return _most({k: F.when(_common(tok, k) * 10 >= F.size(tok), _common(tok, k)).otherwise(0) for k in COMMON_WORDS})
 
 
 #: Column and detector: a function of the text that gives a label.
