@@ -26,6 +26,8 @@ SIZES = (3, 5)
 #: At most so many texts of each class are trained on, none longer than this many characters.
 MOST, LONGEST = 1500, 20_000
 BLOCK = 2048
+#: Steps of training, about, that even a few texts get.
+LEAST_STEPS = 240
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -207,13 +209,16 @@ def train(texts: pd.DataFrame, rounds: int = 10, rate: float = 0.01, batch: int
     t = Text(*_join(list(texts["text"])))
     m1, m2, step = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     logits = rng.normal(size=len(t.row))
+    # few texts are seen in smaller batches and more rounds
+    batch = int(np.clip(len(y) // 8, 32, batch))
+    rounds = max(rounds, -(-LEAST_STEPS * batch // (2 * len(y))))
     for k in range(rounds):
         order = np.lexsort((-logits, t.row))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order)) - t.bounds[:-1][t.row[order]]
         label = y[t.row]
         # of toxic texts at first several windows, then the worst one; of others also some by chance
-        chosen = np.flatnonzero(np.where(label == 1, rank < (4 if k < 2 else 2 if k < 5 else 1), (rank < 2) | (rng.random(len(rank)) < 0.02)))
+        chosen = np.flatnonzero(np.where(label == 1, rank < (4 if k < rounds * 0.2 else 2 if k < rounds * 0.5 else 1), (rank < 2) | (rng.random(len(rank)) < 0.02)))
         share = label[chosen].mean()
         weight = np.where(label[chosen] == 1, 0.5 / share, 0.5 / (1 - share)) ** 0.7
         mixed = rng.permutation(len(chosen))

@@ -2,7 +2,7 @@
 
 Labelled page outcomes (bad or not) are counted by host. Rates are shrunk downwards through beta-binomial priors: the
 suffix towards the whole, the registered domain towards its suffix, the host towards its domain. The prior's weight is
-fitted by moments from how much hosts differ. A host is blocked if even the lower bound of its posterior bad rate is
+fitted by moments from how much hosts differ, and is one page at least. A host is blocked if even the lower bound of its posterior bad rate is
 over the limit. Counts are pre-aggregated by host, so that a host with most pages costs one row a task.
 """
 
@@ -49,7 +49,7 @@ def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: fl
     hosts = outcomes.groupBy(F.col(host).alias("host")).agg(F.count(bad).alias("n"), F.coalesce(F.sum(F.col(bad).cast("bigint")), F.lit(0)).alias("b")).select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "b")
     # one row: the rate, and the overdispersion of hosts by moments
     rate = hosts.agg(F.sum("n").alias("N"), F.sum("b").alias("B"), F.count(F.when(F.col("n") > 0, 1)).alias("G"), F.sum(F.col("n") * F.col("n")).alias("N2"), F.sum(F.when(F.col("n") > 0, F.col("b") * F.col("b") / F.col("n"))).alias("S2"))
-    whole = rate.select(F.expr("(coalesce(B, 0) + 0.5D) / (coalesce(N, 0) + 1)").alias("mu"), F.expr("CASE WHEN G > 1 AND B > 0 AND B < N AND N - N2 / N - (G - 1) > 0 THEN greatest(0.001D, least(0.999D, (S2 - CAST(B AS DOUBLE) * B / N - B * (N - B) / (CAST(N AS DOUBLE) * N) * (G - 1)) / (B * (N - B) / (CAST(N AS DOUBLE) * N) * (N - N2 / N - (G - 1))))) ELSE 0.5D END").alias("phi")).select("mu", ((1 - F.col("phi")) / F.col("phi")).alias("k"))
+    whole = rate.select(F.expr("(coalesce(B, 0) + 0.5D) / (coalesce(N, 0) + 1)").alias("mu"), F.expr("CASE WHEN G > 1 AND B > 0 AND B < N AND N - N2 / N - (G - 1) > 0 THEN greatest(0.001D, least(0.5D, (S2 - CAST(B AS DOUBLE) * B / N - B * (N - B) / (CAST(N AS DOUBLE) * N) * (G - 1)) / (B * (N - B) / (CAST(N AS DOUBLE) * N) * (N - N2 / N - (G - 1))))) ELSE 0.5D END").alias("phi")).select("mu", ((1 - F.col("phi")) / F.col("phi")).alias("k"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("ns"), F.sum("b").alias("bs")).crossJoin(F.broadcast(whole))  # one row
     suffixes = suffixes.select("suffix", "k", F.expr("(bs + k * mu) / (ns + k)").alias("ms"))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("nd"), F.sum("b").alias("bd")).join(suffixes, "suffix").select("domain", "k", F.expr("(bd + k * ms) / (nd + k)").alias("md"))
@@ -79,7 +79,7 @@ h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS b, regexp_replace(
 h AS (SELECT *, array_to_string(string_split(bare, '.')[-2:], '.') AS domain, string_split(bare, '.')[-1] AS suffix FROM h0),
 r AS (SELECT sum(n)::DOUBLE AS N_, sum(b)::DOUBLE AS B_, count(*) FILTER (WHERE n > 0) AS G, sum(n * n)::DOUBLE AS N2, sum(CASE WHEN n > 0 THEN b * b / n::DOUBLE END) AS S2 FROM h),
 f AS (SELECT (coalesce(B_, 0) + 0.5) / (coalesce(N_, 0) + 1) AS mu, CASE WHEN G > 1 AND B_ > 0 AND B_ < N_ AND N_ - N2 / N_ - (G - 1) > 0
-  THEN greatest(0.001, least(0.999, (S2 - B_ * B_ / N_ - B_ * (N_ - B_) / (N_ * N_) * (G - 1)) / (B_ * (N_ - B_) / (N_ * N_) * (N_ - N2 / N_ - (G - 1))))) ELSE 0.5 END AS phi FROM r),
+  THEN greatest(0.001, least(0.5, (S2 - B_ * B_ / N_ - B_ * (N_ - B_) / (N_ * N_) * (G - 1)) / (B_ * (N_ - B_) / (N_ * N_) * (N_ - N2 / N_ - (G - 1))))) ELSE 0.5 END AS phi FROM r),
 k AS (SELECT mu::DOUBLE AS mu, ((1 - phi) / phi)::DOUBLE AS k FROM f),
 s AS (SELECT suffix, k, (bs + k * mu) / (ns + k) AS ms FROM (SELECT suffix, sum(n)::DOUBLE AS ns, sum(b)::DOUBLE AS bs FROM h GROUP BY suffix), k),
 d AS (SELECT domain, k, (bd + k * ms) / (nd + k) AS md FROM (SELECT domain, suffix, sum(n)::DOUBLE AS nd, sum(b)::DOUBLE AS bd FROM h GROUP BY domain, suffix) JOIN s USING (suffix)),
