@@ -235,29 +235,33 @@ def _same(a: DataFrame, b: DataFrame) -> bool:
     return a.agg(*mark).first() == b.agg(*mark).first()
 
 
+def _grouped(docs: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """key, fp, root (a fingerprint that names the component), component_id and the columns in keep, for each row."""
+    prints = materialize(fingerprints(docs, key, text, keep), "fingerprints")
+    least = materialize(prints.groupBy("fp").agg(F.min(key).alias("own")), "distinct")
+    roots = components(links(least.select("fp")))
+    grouped = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
+    ids = grouped.groupBy("root").agg(F.min("own").alias("component_id"))
+    return prints.join(grouped.select("fp", "root").join(ids, "root"), "fp")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """key, fingerprint (16 hex digits), component_id (least key reachable, its own included) and the columns in keep, a
     row for each row of docs.
 
     Null, empty and blank texts have fingerprint 0 and are linked like any other. Repeated rows share their component.
-    Null keys stay; a component with no other key has component_id null. docs is read twice and must not change between.
+    Null keys stay; a component with no other key has component_id null.
     """
-    prints = materialize(fingerprints(docs, key, text, keep), "fingerprints")
-    least = materialize(prints.groupBy("fp").agg(F.min(key).alias("own")), "distinct")
-    roots = components(links(least.select("fp")))
-    grouped = least.join(roots, least["fp"] == roots["node"], "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
-    ids = grouped.groupBy("root").agg(F.min("own").alias("component_id"))
-    by_fp = grouped.select("fp", "root").join(ids, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(by_fp, "fp").select(F.col(key), hexed.alias("fingerprint"), "component_id", *keep)
+    return _grouped(docs, key, text, keep).select(F.col(key), hexed.alias("fingerprint"), "component_id", *keep)
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each group of near-duplicates: that with the least key.
-
-    Rows with a null key are kept only if their group has no other key. Of repeated rows one stays: the key's first text in
-    order. Columns are those of docs.
+    """docs with one document of each group of near-duplicates: that with the least key, and of several texts under it the
+    one with the least hash. A null key is kept only where its group has no other. Rows that repeat both key and text are
+    one document and stay together. Columns are those of docs.
     """
-    found = near_duplicates(docs, key, text)
-    kept = found.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_k")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["_k"]), "left_semi")
+    marked = docs.select(docs[key].alias("_k"), docs[text].alias("_t"), F.xxhash64(docs[text]).alias("_th"))
+    first = _grouped(marked, "_k", "_t", ("_th",)).groupBy("root").agg(F.min(F.struct(F.col("_k").isNull().alias("z"), "_k", "_th")).alias("r"))
+    kept = first.select("r._k", "r._th")
+    return docs.join(kept, docs[key].eqNullSafe(kept["_k"]) & (F.xxhash64(docs[text]) == kept["_th"]), "left_semi")

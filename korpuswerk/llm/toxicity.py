@@ -42,36 +42,47 @@ class Text:
     """Rows of text as windows over their distinct words."""
 
     def __init__(self, data: np.ndarray, offs: np.ndarray):
-        lower = LOWER[data]
-        s, e, wb = words(lower, offs, WORDLIKE)
-        hasher = Hasher(lower)
-        h = hasher(s, e)
-        self.names, first, inv = np.unique(h, return_index=True, return_inverse=True)
-        self._grams(hasher, s[first], e[first])
-        n = np.diff(wb)
+        parts = [self._part(part, o) for _, _, part, o in passes(data, offs)]
+        parts = parts or [self._part(data, offs)]
+        names = np.concatenate([p[0] for p in parts])
+        # each word's n-grams are those from the pass that has it first
+        self.names, first, inv = np.unique(names, return_index=True, return_inverse=True)
+        begin = np.cumsum([0, *[len(p[0]) for p in parts]])
+        self.word = np.append(np.concatenate([inv[b + p[1]] for b, p in zip(begin, parts, strict=False)]), -1).astype(np.int32)
+        sizes, grams = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+        ends = np.cumsum(sizes)
+        n = sizes[first]
+        self.gram_bounds = np.concatenate([[0], np.cumsum(n)])
+        self.gram = grams[np.repeat((ends - sizes)[first] - self.gram_bounds[:-1], n) + np.arange(n.sum())]
+        self.whole = (self.names & np.uint64(WORDS - 1)).astype(np.int64)
+        n = np.concatenate([p[2] for p in parts])
+        wb = np.concatenate([[0], np.cumsum(n)])
         per = 1 + np.maximum(0, -(-(n - WIDTH) // STEP))  # at least one window, the empty one
         self.row = np.repeat(np.arange(len(n)), per)
         self.bounds = np.concatenate([[0], np.cumsum(per)])
-        start = wb[:-1][self.row] + (np.arange(len(self.row)) - self.bounds[:-1][self.row]) * STEP
-        self.start, self.size = start, np.minimum(WIDTH, wb[1:][self.row] - start)
-        self.word = np.append(inv, -1).astype(np.int32)
+        self.start = wb[:-1][self.row] + (np.arange(len(self.row)) - self.bounds[:-1][self.row]) * STEP
+        self.size = np.minimum(WIDTH, wb[1:][self.row] - self.start)
 
-    def _grams(self, hasher: Hasher, s: np.ndarray, e: np.ndarray) -> None:
-        """The words' n-grams: gram by gram its word and place among the vectors."""
+    @staticmethod
+    def _part(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of a pass: distinct words, each word's place among them, words of each row, n-grams of each distinct word, and
+        these n-grams' places among the vectors."""
+        lower = LOWER[data]
+        s, e, wb = words(lower, offs, WORDLIKE)
+        hasher = Hasher(lower)
+        names, first, inv = np.unique(hasher(s, e), return_index=True, return_inverse=True)
+        s, e = s[first], e[first]
         of, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n in SIZES:
             w = np.flatnonzero(e - s >= n)
             count = (e - s)[w] - n + 1
             rep = np.repeat(w, count)
             begin = s[rep] + np.arange(len(rep)) - np.repeat(np.cumsum(count) - count, count)
-            for kind, (x, b) in enumerate(((rep, begin), (w, s[w]), (w, e[w] - n))):
+            for kind, (x, b) in enumerate(((rep, begin), (w, s[w]), (w, e[w] - n))):  # any, the first, the last
                 of.append(x)
                 at.append((mix(hasher(b, b + n) + np.uint64(kind)) & np.uint64(GRAMS - 1)).astype(np.int64))
         of, at = np.concatenate(of), np.concatenate(at)
-        order = np.argsort(of, kind="stable")
-        self.gram_of, self.gram = of[order], at[order]
-        self.gram_bounds = np.searchsorted(self.gram_of, np.arange(len(s) + 1))
-        self.whole = (self.names & np.uint64(WORDS - 1)).astype(np.int64)
+        return names, inv, np.diff(wb), np.bincount(of, minlength=len(names)), at[np.argsort(of, kind="stable")]
 
     def windows(self, pick: np.ndarray) -> np.ndarray:
         """The chosen windows' words, -1 beyond a window's end."""
