@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,13 +153,43 @@ def targets(alignment: Column, source: Column) -> Column:
     return F.transform(F.filter(alignment, lambda p: p[0].eqNullSafe(source)), lambda p: p[1])
 
 
+def group_pairs(pairs: list[list[int | None]]) -> list[tuple[tuple, tuple]]:
+    """Distinct (sources, targets) groups of one alignment, in time linear in its pairs but for sorting."""
+    by: tuple[dict, dict] = ({}, {})
+    for s, t in pairs:
+        by[0].setdefault(s, set()).add(t)
+        by[1].setdefault(t, set()).add(s)
+    order = lambda x: sorted(x, key=lambda i: (i is None, i or 0))
+    out = {}
+    for t in order(by[1]):
+        sources = order(by[1][t])
+        out[tuple(sources), tuple(order(by[0][sources[0]]))] = None
+    return list(out)
+
+
+_INTS = T.ArrayType(T.IntegerType())
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField("src", _INTS), T.StructField("trg", _INTS)])))
+def _groups(alignments: pa.Array) -> pa.Array:
+    made = [None if x is None else group_pairs(x) for x in alignments.to_pylist()]
+    flat = [g for x in made if x for g in x]
+    sides = [pa.array([list(g[i]) for g in flat], pa.list_(pa.int32())) for i in (0, 1)]
+    ends = list(accumulate((len(x or ()) for x in made), initial=0))
+    offsets = pa.array([None if x is None else o for x, o in zip(made, ends, strict=False)] + [ends[-1]], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(sides, ["src", "trg"]))
+
+
 def groups(alignment: Column) -> Column:
     """Distinct (sources, targets) index groups. For each target its sources, sorted; then the targets of the first of these.
-    Indices are sorted with null last. Groups that cross are given as this rule has them."""
-    of = lambda at, i, to: F.array_sort(F.array_distinct(F.transform(F.filter(alignment, lambda p: p[at].eqNullSafe(i)), lambda p: p[to])))
-    every = F.array_sort(F.array_distinct(F.transform(alignment, lambda p: p[1])))
-    sources = F.transform(every, lambda t: of(1, t, 0))
-    return F.array_distinct(F.transform(sources, lambda s: F.struct(s.alias("src"), of(0, s[0], 1).alias("trg"))))
+    Indices are sorted with null last. Groups that cross are given as this rule has them.
+
+    Where every index is in one pair the pairs are the groups; only other rows are worked out in Python.
+    """
+    side = lambda i: F.transform(alignment, lambda p: p[i])
+    single = F.coalesce(~F.exists(alignment, lambda p: p[0].isNull() | p[1].isNull()) & (F.size(F.array_distinct(side(0))) == F.size(alignment)) & (F.size(F.array_distinct(side(1))) == F.size(alignment)), F.lit(False))
+    plain = F.transform(F.array_sort(F.transform(alignment, lambda p: F.array(p[1], p[0]))), lambda p: F.struct(F.array(p[1]).alias("src"), F.array(p[0]).alias("trg")))
+    return F.when(single, plain).otherwise(_groups(F.when(~single, alignment)))
 
 
 def ngrams(groups_: Column, src_tok: Column, trg_tok: Column, keep_none: bool, sep: str) -> Column:
