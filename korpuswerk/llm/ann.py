@@ -3,7 +3,8 @@
 Centroids are fitted on a bounded sample, with lists kept even by a charge on full ones. Every distinct vector goes to its
 nearest list and, if it lies near a boundary, to the others within REPLICA times that distance. A query searches the
 graph of centroids for near lists, and keeps those within RATIO times the least distance. Lists are read in chunks of
-bounded size, so that a large one is no single task, and scores are exact.
+bounded size, so that a large one is no single task, and scores are exact. The FIRST nearest lists are read before the
+others: what they give is a floor, and the others then send on only what reaches it.
 
 Inner products become distances by one more component that gives all vectors the greatest norm.
 
@@ -30,6 +31,7 @@ PER_LIST, SAMPLE_LEAST, SAMPLE_MOST = 16, 8192, 131_072
 REPLICA, MOST_REPLICAS = 1.02, 3
 RATIO, LEAST_LISTS, MOST_PROBES = 1.13, 8, 1024
 CHUNK = 4096
+FIRST = 3
 
 
 def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -169,26 +171,28 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
             near = there & (dist <= dist[:, :1] * ratio) | there & (np.cumsum(there, 1) <= least_lists)
             short = ~(near & (full[ids] > top)).any(1)  # no list alone has enough: all lists
             row, col = np.nonzero(near & ~short[:, None])
-            at = ids[row, col]
+            at, place = ids[row, col], np.cumsum(near, 1)[row, col] - 1
             some = np.flatnonzero(full > 0).astype(np.int32)
             row = np.concatenate([row, np.repeat(np.flatnonzero(short), len(some))])
-            at = np.concatenate([at, np.tile(some, int(short.sum()))])
+            at, place = np.concatenate([at, np.tile(some, int(short.sum()))]), np.concatenate([place, np.zeros(len(some) * int(short.sum()), np.int64)])
             rep = chunks[at]
             part = np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
-            row, at = np.repeat(row, rep), np.repeat(at, rep)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part.astype(np.int32)), batch.column(0).take(row), batch.column(1).take(row)], ["list", "part", "qid", "q"])
+            row, at, place = np.repeat(row, rep), np.repeat(at, rep), np.repeat(place, rep)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part.astype(np.int32)), pa.array(place.astype(np.int32)), batch.column(0).take(row), batch.column(1).take(row)], ["list", "part", "place", "qid", "q"])
 
     def scan(posting: pa.Table, queries: pa.Table) -> pa.Table:
         kept: list[tuple] = []
         if posting.num_rows and queries.num_rows:
             v, q = _matrix(posting.column("v").combine_chunks(), dim), _matrix(queries.column("q").combine_chunks(), dim)
-            did, qid = posting.column("did").to_numpy(), queries.column("qid").to_numpy()
+            did, qid, floor = posting.column("did").to_numpy(), queries.column("qid").to_numpy(), queries.column("floor").to_numpy()
             for i in range(0, len(q), 512):
                 s = q[i : i + 512] @ v.T
                 k = min(len(v), top + 1)
-                cut = np.partition(s, len(v) - k, 1)[:, len(v) - k]
+                cut = np.maximum(np.partition(s, len(v) - k, 1)[:, len(v) - k], floor[i : i + 512])
                 r, c = np.nonzero(s >= cut[:, None] - 1e-9 * np.abs(cut[:, None]) - 1e-300)
                 exact = (q[i + r] * v[c]).sum(1)
+                high = exact >= floor[i + r]
+                r, c, exact = r[high], c[high], exact[high]
                 order = np.lexsort((did[c], -exact, r))
                 r, c, exact = r[order], c[order], exact[order]
                 place = np.arange(len(r)) - np.searchsorted(r, r)
@@ -199,11 +203,20 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
 
     queries = rows.where(F.col("id") % every == 0)
     asked = materialize(queries.groupBy("v").agg(F.min("id").alias("qid")), "queries")
-    probes = asked.select("qid", "v").mapInArrow(probe, "list int, part int, qid bigint, q array<double>")
+    probes = asked.select("qid", "v").mapInArrow(probe, "list int, part int, place int, qid bigint, q array<double>")
     split = spark.createDataFrame([(i, int(n)) for i, n in enumerate(chunks)], "list int, n int")  # a row a list
     dealt = postings.join(F.broadcast(split), "list").withColumn("part", F.pmod(F.xxhash64("did"), F.col("n")).cast("int"))
-    scored = dealt.groupBy("list", "part").cogroup(probes.groupBy("list", "part")).applyInArrow(scan, "qid bigint, did bigint, score double")
-    best = scored.distinct().withColumn("_r", F.expr("row_number() OVER (PARTITION BY qid ORDER BY score DESC, did)")).where(F.col("_r") <= top + 1)
+
+    def read(asking: DataFrame) -> DataFrame:
+        return dealt.groupBy("list", "part").cogroup(asking.groupBy("list", "part")).applyInArrow(scan, "qid bigint, did bigint, score double")
+
+    def leading(scored: DataFrame) -> DataFrame:
+        return scored.distinct().withColumn("_r", F.expr("row_number() OVER (PARTITION BY qid ORDER BY score DESC, did)")).where(F.col("_r") <= top + 1).drop("_r")
+
+    first = materialize(leading(read(probes.where(F.col("place") < FIRST).drop("place").withColumn("floor", F.lit(float("-inf"))))), "first")
+    floors = first.groupBy("qid").agg(F.when(F.count("*") > top, F.min("score")).alias("floor"))
+    others = probes.where(F.col("place") >= FIRST).drop("place").join(floors, "qid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    best = leading(first.union(read(others)))
     listed = best.join(kinds.select("did", "ids"), "did").select("qid", F.explode("ids").alias("id"), "score")
     ahead = listed.groupBy("qid").agg(F.slice(F.expr("array_sort(collect_list(struct(-score AS s, id)))"), 1, top + 1).alias("found"))
     answers = asked.join(ahead, "qid").select("v", "found")
