@@ -90,15 +90,18 @@ def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     shared = slim.select("h1", F.explode("halves").alias("half")).groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi").select("half")
     shared = materialize(shared, "halves")
     ids = materialize(slim.select("h1", F.explode("halves").alias("half")).join(_sized(shared), "half", "left_semi").select("h1").distinct(), "sharing")
-    found = every.join(_sized(ids), "h1", "left_semi").groupBy("h1", "h2", "n").agg(F.min(_order()).alias("first"), F.min("w").alias("w")).select("first", "n", "w")
+    found = every.join(_sized(ids), "h1", "left_semi").groupBy("h1", "h2", "n").agg(F.min(_order()).alias("first"), F.min("w").alias("w"))
     found = materialize(found, "candidates")
-    near = _near(found).select(F.col("a").alias("first")).distinct()
-    repeated = slim.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count("*").alias("c"))
-    classes = repeated.join(near.withColumn("near", F.lit(True)), "first", "left").where("c > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    near = _near(found.select("first", "n", "w")).select(F.col("a").alias("first")).distinct()
+    near = found.select("h1", "h2", "first").join(near, "first", "left_semi").select("h1", "h2", "first", F.lit(True).alias("near"))
+    # a plain count finds the few lines that repeat; only for these is the earliest place worked out
+    repeated = materialize(slim.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"), "repeated")
+    firsts = slim.join(_sized(repeated), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min(_order()).alias("first"))
+    classes = firsts.select("h1", "h2", "first", F.lit(False).alias("near")).union(near).groupBy("h1", "h2").agg(F.min("first").alias("first"), F.max("near").alias("near"))
     classes = materialize(classes, "classes")
     places = slim.select("h1", "h2", "k", "th", "ln").join(_sized(classes), ["h1", "h2"]).where(F.col("near") | (_order() != F.col("first")))
     out = materialize(places.groupBy("k", "th").agg(F.collect_set("ln").alias("drop")), "drops")
-    for t in (slim, shared, ids, found, classes):
+    for t in (slim, shared, ids, found, repeated, classes):
         discard(t)
     return out
 
