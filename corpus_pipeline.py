@@ -46,7 +46,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and a digest of what they decode to."""
     vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = bpe.decode(bpe.encode(docs, *vocabulary), *vocabulary)
+    both = bpe.encode(docs, *vocabulary, decoded=True)
     return both.select("doc_id", "n_tokens", "token_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

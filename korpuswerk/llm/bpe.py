@@ -189,8 +189,9 @@ def _batches(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Ar
         yield part.column(0), part.column(1).to_pylist()
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, token_ids (binary: little-endian unsigned 32-bit integers), n_tokens; a row for each row of docs.
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
+    """key, token_ids (binary: little-endian unsigned 32-bit integers), n_tokens; a row for each row of docs. With decoded
+    there is also what the ids decode to, made in the same pass, so that a task holds the vocabulary once.
 
     Null and empty texts have no tokens. Null and repeated keys stay as they are; other columns of docs are not read.
     ranks_path is opened on each executor, as vocabularies are installed there with the library.
@@ -201,10 +202,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
         for batch in batches:
             for keys, texts in _batches(batch):
                 ids = bpe.encode([t or "" for t in texts])
-                yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["k", "token_ids", "n_tokens"])
+                back = [pa.array([bpe.decode(x) for x in ids], pa.binary())] if decoded else []
+                yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), *back], ["k", "token_ids", "n_tokens", "decoded"][: 3 + decoded])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(run, f"k {kind}, token_ids binary, n_tokens bigint")
+    out = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(run, f"k {kind}, token_ids binary, n_tokens bigint" + ", decoded binary" * decoded)
     return out.withColumnRenamed("k", key)
 
 

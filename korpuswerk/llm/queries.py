@@ -78,7 +78,7 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids and the decoded bytes, as digests."""
     docs = _table(spark, sf_dir, "documents")
     vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = bpe.decode(bpe.encode(docs, *vocabulary), *vocabulary)
+    both = bpe.encode(docs, *vocabulary, decoded=True)
     return both.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -39,6 +39,7 @@ def test_bpe_as_the_library(spark, odd):
     assert plain.encode(texts[:50]) == own.encode(texts[:50])
     rows = bpe.decode(bpe.encode(odd, path, P.PATTERN), path, P.PATTERN).collect()
     assert len(rows) == len(ODD) + 2
+    assert sorted(map(str, bpe.encode(odd, path, P.PATTERN, decoded=True).collect())) == sorted(map(str, rows))
     for r in rows:
         if r.doc_id is not None:
             assert bytes(r.decoded).decode() == (ODD[r.doc_id] or "") and r.n_tokens == len(want.encode_ordinary(ODD[r.doc_id] or ""))
