@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids are fitted on a bounded sample, with lists kept even by a charge on full ones. Every distinct vector goes to its
-nearest list and, if it lies near a boundary, to the others within REPLICA times that distance. A query searches the
-graph of centroids for near lists, and keeps those within RATIO times the least distance. Lists are read in chunks of
-bounded size, so that a large one is no single task, and scores are exact. The FIRST nearest lists are read before the
-others: what they give is a floor, and the others then send on only what reaches it.
+nearest list and, if it lies near a boundary, to the others within REPLICA times that distance. A query reads all lists
+within a ratio of its least distance to a centroid, however many they are; centroids are ordered exactly. The ratio is
+measured on the table itself: ASKED queries are answered by brute force over all vectors, and it is the least at which
+RECALL of what they find lies in lists that are read. Lists are read in chunks of bounded size, so that a large one is no
+single task, and scores are exact. The FIRST nearest lists are read before the others: what they give is a floor, and the
+others then send on only what reaches it.
 
 Inner products become distances by one more component that gives all vectors the greatest norm.
 
@@ -29,7 +31,10 @@ LIST, MOST_LISTS, CENTROID_BYTES = 512, 16384, 64 << 20
 #: Vectors for fitting: so many for each list, at least and at most.
 PER_LIST, SAMPLE_LEAST, SAMPLE_MOST = 16, 8192, 131_072
 REPLICA, MOST_REPLICAS = 1.02, 3
-RATIO, LEAST_LISTS, MOST_PROBES = 1.13, 8, 1024
+#: Queries answered by brute force, and the share of their neighbours that the lists read must hold.
+ASKED, RECALL, LEAST_LISTS = 256, 0.96, 8
+#: Pairs of query and list that are worked out at once.
+PAIRS = 65_536
 CHUNK = 4096
 FIRST = 3
 
@@ -130,10 +135,10 @@ def valid(table: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
     return good.where(F.size("v") == dim), dim
 
 
-def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = TOP, ratio: float = RATIO, least_lists: int = LEAST_LISTS, list_size: int = LIST) -> DataFrame:
+def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = TOP, ratio: float | None = None, least_lists: int = LEAST_LISTS, list_size: int = LIST) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: of each row whose id is divisible by `every`, the `top` rows found with the
-    largest inner products, itself left out; of equal scores the smaller id first. Rows that repeat an id and vector count
-    once. See valid() for rows that take no part; without any the result is empty."""
+    largest inner products, itself left out; of equal scores the smaller id first. ratio is measured if none is given. Rows
+    that repeat an id and vector count once. See valid() for rows that take no part; without any the result is empty."""
     spark = table.sparkSession
     rows, dim = valid(table, key, vector)
     rows = rows.distinct()
@@ -161,24 +166,28 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
     full[list(sizes)] = list(sizes.values())
     chunks = np.maximum(1, -(-full // CHUNK)).astype(np.int32)
 
+    queries = rows.where(F.col("id") % every == 0)
+    asked = materialize(queries.groupBy("v").agg(F.min("id").alias("qid")), "queries")
+    if ratio is None:
+        ratio = _measured(asked, kinds, postings, graph.c, full, norm2, top, least_lists)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            q = _matrix(batch.column(1), dim)
-            ids, dist = sent.value.search(np.append(q * (norm2 / (q * q).sum(1, keepdims=True)) ** 0.5, np.zeros((len(q), 1)), 1), MOST_PROBES)
-            there = (ids >= 0) & (full[ids] > 0)
-            near = there & (dist <= dist[:, :1] * ratio) | there & (np.cumsum(there, 1) <= least_lists)
-            short = ~(near & (full[ids] > top)).any(1)  # no list alone has enough: all lists
-            row, col = np.nonzero(near & ~short[:, None])
-            at, place = ids[row, col], np.cumsum(near, 1)[row, col] - 1
-            some = np.flatnonzero(full > 0).astype(np.int32)
-            row = np.concatenate([row, np.repeat(np.flatnonzero(short), len(some))])
-            at, place = np.concatenate([at, np.tile(some, int(short.sum()))]), np.concatenate([place, np.zeros(len(some) * int(short.sum()), np.int64)])
-            rep = chunks[at]
-            part = np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
-            row, at, place = np.repeat(row, rep), np.repeat(at, rep), np.repeat(place, rep)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part.astype(np.int32)), pa.array(place.astype(np.int32)), batch.column(0).take(row), batch.column(1).take(row)], ["list", "part", "place", "qid", "q"])
+        some, step = np.flatnonzero(full > 0).astype(np.int32), max(1, PAIRS // len(full))
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                ids, dist = _ordered(_raised(_matrix(batch.column(1), dim), norm2), sent.value.c)
+                there = full[ids] > 0
+                near = there & (dist <= dist[:, :1] * ratio) | there & (np.cumsum(there, 1) <= least_lists)
+                short = ~(near & (full[ids] > top)).any(1)  # no list alone has enough: all lists
+                row, col = np.nonzero(near & ~short[:, None])
+                at, place = ids[row, col], np.cumsum(near, 1)[row, col] - 1
+                row = np.concatenate([row, np.repeat(np.flatnonzero(short), len(some))])
+                at, place = np.concatenate([at, np.tile(some, int(short.sum()))]), np.concatenate([place, np.zeros(len(some) * int(short.sum()), np.int64)])
+                rep = chunks[at]
+                part = np.arange(rep.sum()) - np.repeat(np.cumsum(rep) - rep, rep)
+                row, at, place = np.repeat(row, rep), np.repeat(at, rep), np.repeat(place, rep)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(part.astype(np.int32)), pa.array(place.astype(np.int32)), batch.column(0).take(row), batch.column(1).take(row)], ["list", "part", "place", "qid", "q"])
 
     def scan(posting: pa.Table, queries: pa.Table) -> pa.Table:
         kept: list[tuple] = []
@@ -201,8 +210,6 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
         cols = [np.concatenate(x) for x in zip(*kept, strict=True)] if kept else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("qid", "did", "score"), cols, strict=True)))
 
-    queries = rows.where(F.col("id") % every == 0)
-    asked = materialize(queries.groupBy("v").agg(F.min("id").alias("qid")), "queries")
     probes = asked.select("qid", "v").mapInArrow(probe, "list int, part int, place int, qid bigint, q array<double>")
     split = spark.createDataFrame([(i, int(n)) for i, n in enumerate(chunks)], "list int, n int")  # a row a list
     dealt = postings.join(F.broadcast(split), "list").withColumn("part", F.pmod(F.xxhash64("did"), F.col("n")).cast("int"))
@@ -227,3 +234,60 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
 def _lifted(x: np.ndarray, norm2: float) -> np.ndarray:
     """x with the component that brings all rows to the greatest norm."""
     return np.append(x, np.sqrt(np.maximum(norm2 - (x * x).sum(1, keepdims=True), 0)), 1)
+
+
+def _raised(q: np.ndarray, norm2: float) -> np.ndarray:
+    """Queries at the greatest norm, without a part in the further component."""
+    return np.append(q * (norm2 / (q * q).sum(1, keepdims=True)) ** 0.5, np.zeros((len(q), 1)), 1)
+
+
+def _ordered(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row, all centroids and their distances, nearest first."""
+    d = np.sqrt(_distances(x, c))
+    ids = np.argsort(d, 1, kind="stable")
+    return ids.astype(np.int32), np.take_along_axis(d, ids, 1)
+
+
+def _true(asked: DataFrame, kinds: DataFrame, top: int) -> tuple[list[int], np.ndarray, DataFrame]:
+    """The ids and vectors of at most ASKED queries, and a table (qid, did) of each one's `top` best other vectors, of all."""
+    some = asked.orderBy(F.xxhash64(F.lit(1), "qid")).limit(ASKED).collect()  # others than those that centroids are fitted on
+    qid, q = np.array([r.qid for r in some], np.int64), np.array([r.v for r in some], np.float64)
+    sent = kinds.sparkSession.sparkContext.broadcast((qid, q))
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qid, q = sent.value
+        score, did = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = _matrix(batch.column(1), q.shape[1])
+            s = q @ v.T
+            near = np.argpartition(-s, min(top, len(v) - 1), 1)[:, : top + 1]
+            own = np.stack([(v[at] == x).all(1) for at, x in zip(near, q, strict=True)])
+            score = np.append(score, np.where(own, -np.inf, np.take_along_axis(s, near, 1)), 1)
+            did = np.append(did, batch.column(0).to_numpy()[near], 1)
+            keep = np.argsort(-score, 1, kind="stable")[:, :top]
+            score, did = np.take_along_axis(score, keep, 1), np.take_along_axis(did, keep, 1)
+        row, col = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(qid[row]), pa.array(did[row, col]), pa.array(score[row, col])], ["qid", "did", "score"])
+
+    found = kinds.select("did", "v").mapInArrow(best, "qid bigint, did bigint, score double")
+    ranked = found.withColumn("_r", F.expr("row_number() OVER (PARTITION BY qid ORDER BY score DESC, did)"))
+    return qid.tolist(), q, ranked.where(F.col("_r") <= top).select("qid", "did")
+
+
+def _measured(asked: DataFrame, kinds: DataFrame, postings: DataFrame, c: np.ndarray, full: np.ndarray, norm2: float, top: int, least_lists: int) -> float:
+    """The least ratio at which a sample of queries finds RECALL of its true neighbours."""
+    qid, q, true = _true(asked, kinds, top) if not asked.isEmpty() else ([], None, None)
+    found = postings.select("did", "list").join(F.broadcast(true), "did").select("qid", "did", "list").collect() if qid else []  # MOST_REPLICAS rows a neighbour
+    if not found:
+        return 1.0
+    ids, dist = _ordered(_raised(q, norm2), c)
+    place = np.cumsum(full[ids] > 0, 1)
+    need = np.where(place <= least_lists, 1.0, dist / np.maximum(dist[:, :1], 1e-150))
+    by_list = np.empty_like(need)
+    np.put_along_axis(by_list, ids, need, 1)
+    at, least = {k: i for i, k in enumerate(qid)}, {}
+    for r in found:
+        least[r.qid, r.did] = min(by_list[at[r.qid], r.list], least.get((r.qid, r.did), np.inf))
+    return float(np.quantile(list(least.values()), RECALL, method="higher")) * (1 + 1e-9)

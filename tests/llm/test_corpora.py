@@ -195,6 +195,21 @@ def test_neighbours_reach_the_true_ones(spark):
     assert ann.search(df.limit(0)).count() == 0
 
 
+def test_ratio_follows_the_table(spark):
+    """Vectors without clusters in many small lists, where a ratio of 1.13 reads too few of them."""
+    x = np.random.default_rng(5).normal(size=(12000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in ann.search(df, every=60, list_size=16).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, 12000, 60):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hit / (20 * 200) > 0.92
+
+
 def test_lists_are_balanced():
     x = np.random.default_rng(0).normal(size=(2000, 8))
     c = ann.fit(x, 20)
