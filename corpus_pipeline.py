@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from korpuswerk.llm import bpe, ctw, decontaminate, fitting, linededup, simhash, toxicity
+from korpuswerk.llm import bpe, ctw, decontaminate, fitting, linededup, neardup, toxicity
 from korpuswerk.llm.runtime import materialize
 
 #: A document is toxic from this score on.
@@ -32,8 +32,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that with the least id."""
-    return simhash.first_of_each(docs)
+    """Documents go whose five-word shingles have a Jaccard similarity of 0.8 or more to those of a kept one of lesser id."""
+    return neardup.first_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_lines),
-    ("simhash near-dedup", drop_near_duplicates),
+    ("near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_contaminated),
     ("byte-level bpe", encode),
 ]

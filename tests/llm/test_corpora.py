@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from korpuswerk.llm import ann, decontaminate, linededup, simhash, urls
+from korpuswerk.llm import ann, decontaminate, linededup, neardup, simhash, urls
 
 DOCS = "doc_id bigint, text string"
 
@@ -45,6 +45,34 @@ def test_simhash_against_all_pairs(spark, docs):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_dedup_stage_against_all_pairs(spark, docs):
+    """Copies with a few words changed go, chains of them too, but none that is under 0.8 to each one kept."""
+    rng = random.Random(9)
+    rows = [r for r in docs]
+    for i in range(30):
+        w = some_words(rng, rng.randint(40, 90))
+        for j in range(5):
+            w = list(w)
+            w[rng.randrange(len(w))] = f"new{j}"
+            rows.append((8000 + 10 * i + j, " ".join(w)))
+    df = spark.createDataFrame([(k, t, "s") for k, t in rows], "doc_id bigint, text string, s string").repartition(3)
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    kept = []
+    for k, t in sorted((r for r in set(rows) if r[0] is not None), key=lambda r: r[0]):
+        s = shingles(t)
+        if not any(5 * len(s & o) >= 4 * len(s | o) for _, o in kept):
+            kept.append((k, s))
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert {r.doc_id for r in got.where("doc_id IS NOT NULL").collect()} == {k for k, _ in kept}
+    assert {r.text for r in got.where("doc_id IS NULL").collect()} == {"x y z"}
+    assert neardup.first_of_each(df.limit(0)).count() == 0
+
+
 def test_bk_tree_links_a_dense_ball(spark):
     rng = random.Random(4)
     vals = [0, *[1 << i for i in range(20)], *[(1 << i) | (1 << j) for i in range(12) for j in range(i)], *[rng.getrandbits(64) for _ in range(200)], (1 << 64) - 1]
