@@ -110,10 +110,10 @@ def detect_language(layer: str = "orig", detectors: dict[str, Callable[[Column],
 
 
 class CharacterModel:
-    """An interpolated character n-gram model: mean negative log-likelihood of a text's characters."""
+    """An interpolated character n-gram model: mean negative log-likelihood of all of a text's characters."""
 
-    def __init__(self, counts: dict[str, int], order: int = 4, most: int = 1024):
-        self.order, self.most = order, most
+    def __init__(self, counts: dict[str, int], order: int = 4):
+        self.order = order
         self.counts, self.contexts = counts, {}
         for gram, n in counts.items():
             self.contexts[gram[:-1]] = self.contexts.get(gram[:-1], 0) + n
@@ -127,7 +127,7 @@ class CharacterModel:
         return texts.where(F.col(column).isNotNull()).select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
     def __call__(self, text: str) -> float:
-        s = "\u0002" * (self.order - 1) + text[: self.most] + "\u0003"
+        s = "\u0002" * (self.order - 1) + text + "\u0003"
         total = 0.0
         for e in range(self.order - 1, len(s)):
             p = 1 / self.alphabet

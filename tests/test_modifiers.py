@@ -101,6 +101,11 @@ def test_language_and_scores(spark):
     assert scored.columns[-1] == "norm_a/b" and scored.where("orig IS NULL").first()["norm_a/b"] is None
 
 
+def test_scores_see_the_end_of_long_texts(spark):
+    m = models.CharacterModel({r.gram: r.n for r in models.CharacterModel.count(spark.createDataFrame([("abab" * 20,)], "orig string"), "orig").collect()})
+    assert m("ab" * 1000 + "qx" * 50) > m("ab" * 1050)
+
+
 def test_vanilla_and_checks(spark):
     df = spark.createDataFrame([("a", 0, ["Sie", "ſagte", ":", "„", "Ja", "“", "."], None, ["Sie", "sagte", ":", "„", "Ja", "“", "."]), ("a", 1, [], [], [])], "basename string, par_idx int, orig_tok array<string>, orig_ws array<boolean>, norm_tok array<string>")
     done = modifiers.vanilla(df)
