@@ -236,9 +236,10 @@ def lang_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts by a character model of the sentences of labelled documents, whose n-grams are bounded by the alphabet."""
+    """Texts by a character model of all German sentences. Its distinct n-grams of up to 4 are collected: at most the fourth
+    power of the alphabet, and no more than there are characters in four orders."""
     df = C.sentences(spark, sf_dir)
-    seen = df.where("lang = 'de' AND par_idx = 0")
+    seen = df.where("lang = 'de'")
     sent = spark.sparkContext.broadcast({r.gram: r.n for r in models.CharacterModel.count(seen, "orig").collect()})
     return models.lm_score(lambda: models.CharacterModel(sent.value), "char4", "orig")(df).select("basename", "par_idx", F.round("orig_char4", 6).alias("nll"))
 

@@ -106,6 +106,17 @@ def test_scores_see_the_end_of_long_texts(spark):
     assert m("ab" * 1000 + "qx" * 50) > m("ab" * 1050)
 
 
+def test_scores_learn_from_all_german_sentences(spark):
+    from korpuswerk.plans import corpus, queries
+
+    sf = "/root/testdata/sf0.001"
+    df = corpus.sentences(spark, sf)
+    m = models.CharacterModel({r.gram: r.n for r in models.CharacterModel.count(df.where("lang = 'de'"), "orig").collect()})
+    texts = {(r.basename, r.par_idx): r.orig for r in df.limit(40).collect()}
+    got = {(r.basename, r.par_idx): r.nll for r in queries.lm_score(spark, sf).collect()}
+    assert all(abs(got[k] - m(t)) < 1e-5 for k, t in texts.items())
+
+
 def test_vanilla_and_checks(spark):
     df = spark.createDataFrame([("a", 0, ["Sie", "ſagte", ":", "„", "Ja", "“", "."], None, ["Sie", "sagte", ":", "„", "Ja", "“", "."]), ("a", 1, [], [], [])], "basename string, par_idx int, orig_tok array<string>, orig_ws array<boolean>, norm_tok array<string>")
     done = modifiers.vanilla(df)
