@@ -81,23 +81,39 @@ WORDLIKE = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 
 
 def words(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of table's bytes within rows, and each row's n + 1 bounds among them."""
-    if not len(data):
+    """Starts and ends of the maximal runs of table's bytes within rows, and each row's n + 1 bounds among them. Works in
+    slices, so that a long text costs little beside its words."""
+    starts, ends = [], []
+    for a in range(0, len(data), PASS_BYTES):
+        b = min(a + PASS_BYTES, len(data))
+        m = table[data[max(a - 1, 0) : b + 1]]  # with a neighbour on either side, if there is one
+        lead, n = min(a, 1), b - a
+        mine = m[lead : lead + n]
+        before, after = np.zeros(n, bool), np.zeros(n, bool)
+        before[1:], after[:-1] = mine[:-1], mine[1:]
+        before[0], after[-1] = bool(lead) and m[0], len(m) > lead + n and m[-1]
+        inner = offs[np.searchsorted(offs, a) : np.searchsorted(offs, b)] - a
+        before[inner] = False
+        inner = offs[np.searchsorted(offs, a, "right") : np.searchsorted(offs, b, "right")] - a
+        after[inner - 1] = False
+        starts.append(np.flatnonzero(mine & ~before) + a)
+        ends.append(np.flatnonzero(mine & ~after) + a + 1)
+    if not starts:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
-    m = table[data]
-    before = np.empty(len(m), bool)
-    before[0] = False
-    before[1:] = m[:-1]
-    inner = offs[(offs > 0) & (offs < len(m))]
-    before[inner] = False
-    starts = np.flatnonzero(m & ~before)
-    after = np.empty(len(m), bool)
-    after[-1] = False
-    after[:-1] = m[1:]
-    after[inner - 1] = False
-    ends = np.flatnonzero(m & ~after) + 1
-    return starts, ends, np.searchsorted(starts, offs)
+    s = np.concatenate(starts)
+    return s, np.concatenate(ends), np.searchsorted(s, offs)
+
+
+def hashed_words(data: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """words() with a 64-bit hash of each: starts, ends, hashes, bounds. Hashed in runs of words of bounded size."""
+    s, e, wb = words(data, offs, table)
+    out, i = np.empty(len(s), np.uint64), 0
+    while i < len(s):
+        j = max(i + 1, int(np.searchsorted(e, s[i] + PASS_BYTES, "right")))
+        out[i:j] = Hasher(data[s[i] : e[j - 1]])(s[i:j] - s[i], e[i:j] - s[i])
+        i = j
+    return s, e, out, wb
 
 
 _M = 0x9E3779B97F4A7C15 | 1

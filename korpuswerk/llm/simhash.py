@@ -116,18 +116,30 @@ class BkTree:
                 if one[i]:
                     continue
             todo += [c for e, c in edges[i].items() if d - r <= e <= d + r]
-        i, mine, path = 0, self.root(me), []
-        while True:
-            path.append(i)
-            d = (values[i] ^ value).bit_count()
-            if d not in edges[i]:
-                edges[i][d] = me
-                break
-            i = edges[i][d]
-        for i in path:
+        mine = self.root(me)
+        for i in self._hang(value, me):
             if one[i] and self.root(i) != mine:
                 one[i] = False
 
+    def insert(self, value: int) -> None:
+        """Insert a value that need not be new; groups are not kept."""
+        me = len(self.values)
+        self.values.append(value)
+        self.edges.append({})
+        if me:
+            self._hang(value, me)
+
+    def _hang(self, value: int, me: int) -> list[int]:
+        """Hang a new place below those on the value's path; gives the path."""
+        i, path = 0, []
+        while True:
+            path.append(i)
+            d = (self.values[i] ^ value).bit_count()
+            if d not in self.edges[i]:
+                self.edges[i][d] = me
+                return path
+            i = self.edges[i][d]
+
 
 def _shard_keys(fp: np.ndarray) -> np.ndarray:
     """16 keys for each fingerprint: which block and quarter, and their values."""
