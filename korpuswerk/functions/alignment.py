@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import accumulate
 
 import pandas as pd
@@ -15,10 +16,10 @@ from pyspark.sql import types as T
 GROUP = 4
 #: What each further token of a group costs.
 FURTHER = 1.5
-#: How far from the diagonal a pair of lists is searched at first, beyond the difference of their lengths.
-BAND = 4
 #: Tokens that must agree for two lists to run alike again.
 SAME = 3
+#: How many tokens further another such place is looked for.
+WAIT = 3
 _MOVES = [(1, 1), *[(k, 1) for k in range(2, GROUP + 1)], *[(1, k) for k in range(2, GROUP + 1)], (1, 0), (0, 1)]
 
 
@@ -58,83 +59,100 @@ def align_tokens(src: list[str], trg: list[str]) -> list[list[int | None]]:
     out: list[list[int | None]] = []
     i = j = 0
     n, m = len(src), len(trg)
+    left = _left(src), _left(trg)
     while i < n or j < m:
         while i < n and j < m and src[i] == trg[j]:
             out.append([i, j])
             i, j = i + 1, j + 1
         if i == n and j == m:
             break
-        a, b = _meet(src, trg, i, j)
+        a, b = _meet(src, trg, i, j, left)
         if out and i and j and out[-1] == [i - 1, j - 1]:
             out.pop()
             i, j = i - 1, j - 1
         if a < n and b < m:
             a, b = a + 1, b + 1
-        out += [[x if x is None else x + i, y if y is None else y + j] for x, y in _search(src[i:a], trg[j:b])]
+        out += [[x if x is None else x + i, y if y is None else y + j] for x, y in _search(src[i:a], trg[j:b])[1]]
         i, j = a, b
     return out
 
 
-def _meet(src: list[str], trg: list[str], i: int, j: int) -> tuple[int, int]:
-    """The nearest places from i and j on where the next SAME tokens (or all that are left) agree; the ends if none do."""
+def _left(tokens: list[str]) -> list[int]:
+    """The length of what is left from each place on."""
+    return list(accumulate(map(len, reversed(tokens)), initial=0))[::-1]
+
+
+def _meet(src: list[str], trg: list[str], i: int, j: int, left: tuple[list[int], list[int]]) -> tuple[int, int]:
+    """A near place from i and j on where the next SAME tokens (or all that are left) agree; the ends if there is none. Of
+    the nearest one and those up to WAIT tokens further the one is taken from which the whole costs least: the part before
+    it, and behind it by how much the lengths of what is left differ. In texts that repeat themselves others agree, too."""
     n, m, far = len(src), len(trg), 8
     while True:
+        found, last = [], 2 * far
         for d in range(1, 2 * far + 1):
+            if d > last:
+                break
             for x in range(max(0, d - far), min(d, far) + 1):
                 a, b = i + x, j + d - x
                 if a <= n and b <= m and src[a : a + SAME] == trg[b : b + SAME] and (a < n or b == m):
-                    return a, b
+                    found.append((a, b))
+                    last = min(last, d + WAIT)
+        if len(found) == 1:
+            return found[0]
+        if found:
+            return min(found, key=lambda p: _search(src[i : p[0]], trg[j : p[1]])[0] + abs(left[0][p[0]] - left[1][p[1]]))
         if far >= max(n - i, m - j):
             return n, m
         far *= 2
 
 
-def _search(src: list[str], trg: list[str]) -> list[list[int | None]]:
-    """Only a band around the diagonal is searched. Each step off the diagonal costs one at least, so a path that leaves the
-    band costs twice its width; the band is doubled until what was found costs no more."""
-    width = BAND
-    while True:
-        cost, out = _banded(src, trg, width)
-        if cost <= 2 * width or width >= max(len(src), len(trg)):
-            return out
-        width *= 2
-
-
-def _banded(src: list[str], trg: list[str], width: int) -> tuple[float, list[list[int | None]]]:
+def _search(src: list[str], trg: list[str]) -> tuple[float, list[list[int | None]]]:
+    """The least cost, and the alignment. Best-first search over places in both lists. What is left of a path costs at least by how much the lengths of both
+    remainders differ, and a group at least by how much its texts do; so few groups' edit distances are worked out. Of
+    paths of equal cost that of the first move in _MOVES is taken, from the end on."""
     n, m = len(src), len(trg)
-    reach = abs(n - m) + width
-    cats = [[["".join(x[i - k : i]) if k <= i else "" for k in range(GROUP + 1)] for i in range(len(x) + 1)] for x in (src, trg)]
-    lens = [[[len(t) for t in row] for row in c] for c in cats]
-    infinite = float("inf")
-    best: list[dict[int, float]] = [{} for _ in range(n + 1)]
-    via: list[dict[int, tuple[int, int]]] = [{} for _ in range(n + 1)]
-    best[0][0] = 0.0
-    for i in range(n + 1):
-        row, way = best[i], via[i]
-        for j in range(max(0, i - reach), min(m, i + reach) + 1):
-            found, move = (0.0, (0, 0)) if not i and not j else (infinite, (0, 0))
-            for a, b in _MOVES if i or j else ():
-                if a > i or b > j:
-                    continue
-                c = best[i - a].get(j - b, infinite)
-                if c >= found:
-                    continue
-                x, y = lens[0][i][a], lens[1][j][b]
-                c += FURTHER * (a + b - 2) if a and b else 0
-                if c + abs(x - y) >= found:
-                    continue
-                c += edits(cats[0][i][a], cats[1][j][b]) if a and b else x + y
-                if c < found:
-                    found, move = c, (a, b)
-            row[j], way[j] = found, move
+    at_src, at_trg = _left(src), _left(trg)
+    best: dict[tuple[int, int], float] = {}
+    # (bound, place, cost up to the place before or, if known, up to this one, the move or none)
+    heap: list[tuple] = [(abs(at_src[0] - at_trg[0]), 0, 0, 0.0, 0, 0)]
+    end = float("inf")
+    while heap and heap[0][0] <= end:
+        bound, i, j, cost, a, b = heappop(heap)
+        if (i, j) in best:
+            continue
+        if a and b:
+            cost += FURTHER * (a + b - 2) + edits("".join(src[i - a : i]), "".join(trg[j - b : j]))
+            if (f := cost + abs(at_src[i] - at_trg[j])) > bound:
+                heappush(heap, (f, i, j, cost, 0, 0))
+                continue
+        best[i, j] = cost
+        if i == n and j == m:
+            end = cost
+            continue
+        for a, b in _MOVES:
+            k, o = i + a, j + b
+            if k > n or o > m or (k, o) in best:
+                continue
+            x, y = at_src[i] - at_src[k], at_trg[j] - at_trg[o]
+            rest = abs(at_src[k] - at_trg[o])
+            if a and b:
+                heappush(heap, (cost + FURTHER * (a + b - 2) + abs(x - y) + rest, k, o, cost, a, b))
+            else:
+                heappush(heap, (cost + x + y + rest, k, o, cost + x + y, 0, 0))
     out: list[list[int | None]] = []
     i, j = n, m
     while i or j:
-        a, b = via[i][j]
+        a, b = next((a, b) for a, b in _MOVES if (was := best.get((i - a, j - b))) is not None and was + _cost(src[i - a : i], trg[j - b : j]) == best[i, j])
         pairs = [[x, y] for x in range(i - a, i) for y in range(j - b, j)] if a and b else [[i - 1, None]] if a else [[None, j - 1]]
         out += pairs[::-1]
         i, j = i - a, j - b
-    return best[n][m], out[::-1]
+    return best[n, m], out[::-1]
+
+
+def _cost(src: list[str], trg: list[str]) -> float:
+    """What a group costs."""
+    x, y = "".join(src), "".join(trg)
+    return FURTHER * (len(src) + len(trg) - 2) + edits(x, y) if src and trg else len(x) + len(y)
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from itertools import accumulate
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,32 +75,66 @@ def raw2tok(raw: Column) -> Column:
     return F.struct(tok.alias("tok"), ws.alias("ws"))
 
 
-def spans_from_ws(tok: Column, ws: Column) -> Column:
-    """[start, end) of each token in code points, from the flags."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("spans"))
+def _lists(inner: pa.Array, sizes: list[int | None]) -> pa.Array:
+    """A list for each size, of so many of the inner values; null for none."""
+    ends = list(accumulate((n or 0 for n in sizes), initial=0))
+    return pa.ListArray.from_arrays(pa.array([None if n is None else e for n, e in zip(sizes, ends, strict=False)] + [ends[-1]], pa.int32()), inner)
+
+
+def _pairs(begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Lists of two numbers."""
+    flat = np.stack([begin, end], 1).astype(np.int32).ravel()
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, 2, dtype=np.int32)), pa.array(flat))
+
 
-    def add(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + x["ws"].cast("int")
-        end = begin + F.length(x["tok"])
-        return F.struct(end.alias("at"), F.array_append(acc["spans"], F.array(begin, end)).alias("spans"))
+_SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
 
-    return F.aggregate(F.zip_with(tok, ws, lambda t, w: F.struct(t.alias("tok"), w.alias("ws"))), start, add)["spans"]
+
+@F.arrow_udf(_SPANS)
+def _summed(tok: pa.Array, ws: pa.Array) -> pa.Array:
+    """Spans by prefix sums over a whole batch."""
+    sizes = [None if x is None or y is None else x for x, y in zip(pc.list_value_length(tok).to_pylist(), pc.list_value_length(ws).to_pylist(), strict=True)]
+    known = pa.array([n is not None for n in sizes])
+    tok, ws = tok.filter(known), ws.filter(known)
+    length = np.asarray(pc.fill_null(pc.utf8_length(tok.flatten()), 0), np.int64)
+    space = np.asarray(pc.fill_null(ws.flatten(), False), bool)
+    n = np.array([x for x in sizes if x is not None], np.int64)
+    end = np.cumsum(length + space)
+    before = np.concatenate([[0], end])[np.repeat(np.cumsum(n) - n, n)]
+    return _lists(_pairs(end - length - before, end - before), sizes)
+
+
+def spans_from_ws(tok: Column, ws: Column) -> Column:
+    """[start, end) of each token in code points, from the flags, of which there is one a token. Null if either is."""
+    return _summed(tok, ws)
+
+
+@F.arrow_udf(T.StructType([T.StructField("spans", _SPANS), T.StructField("ws", T.ArrayType(T.BooleanType()))]))
+def _read(tok: pa.Array, raw: pa.Array) -> pa.Array:
+    begin, end, flags, sizes = [], [], [], []
+    for ts, text in zip(tok.to_pylist(), raw.to_pylist(), strict=True):
+        if ts is None or text is None:
+            sizes.append(None)
+            continue
+        at, n, first = 0, len(text), len(begin)
+        for t in ts:
+            if at >= n:
+                break
+            space = text[at] == " "
+            start = at + space
+            at = start + len(t or "")
+            begin.append(start)
+            end.append(at)
+            flags.append(space)
+        sizes.append(len(begin) - first)
+    spans = _pairs(np.array(begin, np.int64), np.array(end, np.int64))
+    return pa.StructArray.from_arrays([_lists(spans, sizes), _lists(pa.array(flags, pa.bool_()), sizes)], ["spans", "ws"])
 
 
 def spans_ws_from_raw(tok: Column, raw: Column) -> Column:
     """struct(spans, ws) of tokens in a text, reading it from left to right: only U+0020 counts as white space. Tokens that
-    begin beyond the text's end get nothing."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("spans"), F.array().cast("array<boolean>").alias("ws"))
-
-    def add(acc: Column, t: Column) -> Column:
-        space = F.substring(raw, acc["at"] + 1, 1) == " "
-        begin = acc["at"] + space.cast("int")
-        end = begin + F.length(t)
-        grown = F.struct(end.alias("at"), F.array_append(acc["spans"], F.array(begin, end)).alias("spans"), F.array_append(acc["ws"], space).alias("ws"))
-        return F.when(acc["at"] >= F.length(raw), acc).otherwise(grown)
-
-    done = F.aggregate(tok, start, add)
-    return F.struct(done["spans"].alias("spans"), done["ws"].alias("ws"))
+    begin beyond the text's end get nothing. Both are null if either column is. Time is linear in the text."""
+    return _read(tok, raw)
 
 
 def consistent(raw: Column, tok: Column, ws: Column) -> Column:

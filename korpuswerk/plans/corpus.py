@@ -16,9 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows on all cores where their files give fewer partitions than there are cores: a small table's one row group is
+    one task. A table of many row groups stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(basename, par_idx, lang, source, orig, orig_tok)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     lines = docs.select(F.concat(F.lit("doc"), "doc_id").alias("basename"), "lang", "source", F.posexplode(F.split("text", "\n")).alias("par_idx", "orig"))
     return lines.where("orig != ''").withColumn("orig_tok", F.split("orig", " "))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,10 +114,31 @@ def detokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sentences(spark, sf_dir).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), X.detokenize(F.split(padded, " ")).alias("raw"))
 
 
-@query()
+_ROOM = "\\t-\\r\\x{85}\\p{Z}"
+_WORD_SQL = "[\\p{L}\\p{M}\\p{N}]"
+#: The tokens of column x with the white space before each. SQL's patterns can't look ahead: an abbreviation before a letter
+#: is broken up by a control character, which is taken out again.
+_CUT = (
+    f"list_filter(regexp_extract_all(regexp_replace({{x}}, '({'|'.join(a[:-1].replace('.', chr(92) + '.') for a in X.ABBREVIATIONS)})[.](\\p{{{{L}}}})', '\\1\x01.\\2', 'g'), '[{_ROOM}]*(?:".replace("{85}", "{{85}}").replace("{Z}", "{{Z}}")
+    + "|".join([*(a.replace(".", "\\.") for a in X.ABBREVIATIONS), "\\p{{N}}+(?:[.,:/]\\p{{N}}+)+", f"{_WORD_SQL}+(?:[-''’]{_WORD_SQL}+)*-?".replace("{", "{{").replace("}", "}}"), "\\.{{2,}}", "…", "-{{2,}}", f"[^{_ROOM}]".replace("{85}", "{{85}}").replace("{Z}", "{{Z}}")])
+    + ")'), lambda z: z <> '\x01')"
+)
+_TRIM = f"regexp_replace({{x}}, '^[{_ROOM}]+', '')".replace("{85}", "{{85}}").replace("{Z}", "{{Z}}")
+#: Spans and flags of the tokens `tok` in the text `raw`, read from left to right.
+_READ = """list_reduce(tok, lambda a, t: CASE WHEN a.at >= length(raw) THEN a ELSE struct_pack(
+    at := a.at + (substring(raw, a.at + 1, 1) = ' ')::BIGINT + length(t),
+    spans := list_append(a.spans, (a.at + (substring(raw, a.at + 1, 1) = ' ')::BIGINT) || '-' || (a.at + (substring(raw, a.at + 1, 1) = ' ')::BIGINT + length(t))),
+    ws := a.ws || (substring(raw, a.at + 1, 1) = ' ')::INT::VARCHAR) END, struct_pack(at := 0::BIGINT, spans := []::VARCHAR[], ws := ''))"""
+
+
+@query(
+    f"""WITH {C.SENTENCES}, c AS (SELECT basename, par_idx, {_CUT.format(x="orig")} AS p FROM s)
+SELECT basename, par_idx, array_to_string(list_transform(p, lambda z: {_TRIM.format(x="z")}), '|') AS tok,
+  array_to_string(list_transform(p, lambda z, i: CASE WHEN i > 1 AND z <> {_TRIM.format(x="z")} THEN '1' ELSE '0' END), '') AS ws FROM c"""
+)
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = C.sentences(spark, sf_dir).withColumn("x", X.raw2tok(F.col("orig")))
-    return df.select("basename", "par_idx", joined(F.col("x.tok")).alias("tok"), _flags(F.col("x.ws")).alias("ws"))
+    return df.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), joined(F.col("x.tok")).alias("tok"), _flags(F.col("x.ws")).alias("ws"))
 
 
 @query(f"WITH {C.SENTENCES} SELECT count(*)::BIGINT AS n, 0::BIGINT AS broken FROM s")
@@ -154,15 +176,22 @@ def replace_1to1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edited(modifiers.replace_1to1(C.ONE_TO_ONE)(_plain(spark, sf_dir)))
 
 
-@query(_edited_sql("CASE w " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in C.ONE_TO_MANY.items()) + " ELSE [w] END"))
+_MANY = "CASE w " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in C.ONE_TO_MANY.items()) + " ELSE [w] END"
+
+
+@query(_edited_sql(_MANY))
 def replace_1ton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edited(modifiers.replace_1ton(C.ONE_TO_MANY)(_plain(spark, sf_dir)))
 
 
-@query()
+@query(
+    f"""WITH {C.SENTENCES}, t AS (SELECT basename, par_idx, i, len({_MANY}) AS n FROM (SELECT basename, par_idx, unnest(tok) AS w, generate_subscripts(tok, 1) AS i FROM s)),
+e AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY basename, par_idx ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM t)
+SELECT basename, par_idx, string_agg(array_to_string(list_transform(generate_series(0, n - 1), lambda k: (i - 1) || '-' || (b + k)), ','), ',' ORDER BY i) AS alignment FROM e GROUP BY basename, par_idx"""
+)
 def replace_1ton_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _plain(spark, sf_dir).withColumn("alignment", F.expr("transform(orig_tok, (t, i) -> array(i, i))"))
-    return modifiers.replace_1ton(C.ONE_TO_MANY)(df).select("basename", "par_idx", flat_pairs(F.col("alignment")).alias("alignment"))
+    return modifiers.replace_1ton(C.ONE_TO_MANY)(df).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), flat_pairs(F.col("alignment")).alias("alignment"))
 
 
 _SIZES = sorted({len(k) for k in C.MANY_TO_MANY})
@@ -186,7 +215,24 @@ def ntom_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), F.col("x.at").cast("bigint").alias("at"), F.col("x.n").cast("bigint").alias("n"), F.col("x.gram").alias("gram"))
 
 
-@query()
+def _spliced() -> str:
+    """The tokens around and in the n-grams of the mapping, where none is mapped by two: in place of one that begins at a
+    token come its m-gram's. Of two that begin at a token the shorter counts, and one that begins within another doesn't."""
+    gram = lambda k: " AND ".join(f"{'w' if not j else f'lead(w, {j}) OVER o'} = '{x}'" for j, x in enumerate(k))
+    keys = sorted(C.MANY_TO_MANY, key=len)
+    return f"""m AS (SELECT *, CASE {" ".join(f"WHEN {gram(k)} THEN {len(k)}" for k in keys)} END AS n, CASE {" ".join(f"WHEN {gram(k)} THEN {list(C.MANY_TO_MANY[k])}" for k in keys)} END AS new FROM t WINDOW o AS (PARTITION BY basename, par_idx ORDER BY i)),
+hit AS (SELECT basename, par_idx, list_reduce(list({{'i': i, 'n': n}} ORDER BY i), lambda a, x: CASE WHEN x.i > a.last THEN struct_pack(last := x.i + x.n - 1, kept := list_append(a.kept, x.i)) ELSE a END, struct_pack(last := -1::BIGINT, kept := []::BIGINT[])).kept AS kept FROM m WHERE n IS NOT NULL GROUP BY basename, par_idx),
+k AS (SELECT m.*, hit.kept IS NOT NULL AS changed, coalesce(list_contains(hit.kept, i), false) AS starts FROM m LEFT JOIN hit USING (basename, par_idx)),
+c AS (SELECT *, max(CASE WHEN starts THEN i + n - 1 END) OVER (PARTITION BY basename, par_idx ORDER BY i) AS until FROM k),
+u AS (SELECT basename, par_idx, changed, flatten(list(CASE WHEN starts THEN new WHEN until >= i THEN []::VARCHAR[] ELSE [w] END ORDER BY i)) AS tok FROM c GROUP BY basename, par_idx, changed)"""
+
+
+@query(
+    f"""WITH {C.SENTENCES}, t AS (SELECT basename, par_idx, unnest(tok) AS w, generate_subscripts(tok, 1) - 1 AS i FROM s), {_spliced()},
+r AS (SELECT u.basename, u.par_idx, u.tok, CASE WHEN changed THEN {_detokenized("' ' || array_to_string(u.tok, ' ') || ' '")} ELSE orig END AS raw FROM u JOIN s USING (basename, par_idx)),
+x AS (SELECT *, {_READ} AS x FROM r)
+SELECT basename, par_idx, raw AS norm, array_to_string(tok, '|') AS tok, x.ws AS ws, array_to_string(x.spans, ',') AS spans FROM x"""
+)
 def ntom_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _plain(spark, sf_dir).withColumn("alignment", F.expr("transform(orig_tok, (t, i) -> array(i, i))"))
     return _edited(modifiers.replace_ntom(C.MANY_TO_MANY)(df))
@@ -200,13 +246,23 @@ def raw_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), "norm", ((F.col("par_idx") == 1) & (F.col("lang") == "de") & (joined(F.col("norm_tok")) == "Neu|:|DE|.")).alias("corrected"))
 
 
-@query()
+@query(
+    f"""WITH {C.SENTENCES}, t AS (SELECT basename, par_idx, unnest(tok) AS w, generate_subscripts(tok, 1) - 1 AS i, len(tok) AS n FROM s),
+g AS (SELECT *, i - (i % 7 = 4)::INT AS e FROM t), f AS (SELECT *, (bool_or(w <> '') OVER (PARTITION BY basename, par_idx, e)) AND i = e AS filled FROM g),
+k AS (SELECT *, sum(filled::INT) OVER (PARTITION BY basename, par_idx ORDER BY i) - 1 AS j FROM f)
+SELECT basename, par_idx, string_agg(i || '-' || CASE WHEN w = '' THEN '_' ELSE j::BIGINT::VARCHAR END, ',' ORDER BY i) AS alignment FROM k GROUP BY basename, par_idx"""
+)
 def align(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = F.expr("filter(transform(orig_tok, (t, i) -> if(i + 1 < size(orig_tok) AND i % 7 = 3, concat(t, orig_tok[i + 1]), if(i % 7 = 4 AND i > 0, '', t))), t -> t != '')")
-    return C.sentences(spark, sf_dir).select("basename", "par_idx", flat_pairs(A.align(F.col("orig_tok"), merged)).alias("alignment"))
+    return C.sentences(spark, sf_dir).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), flat_pairs(A.align(F.col("orig_tok"), merged)).alias("alignment"))
 
 
-@query()
+@query(
+    f"""WITH {C.SENTENCES}, r AS (SELECT basename, par_idx, {_detokenized("' ' || orig || ' '")} AS raw FROM s),
+c AS (SELECT *, list_transform({_CUT.format(x=_TRIM.format(x="raw"))}, lambda z: {_TRIM.format(x="z")}) AS tok FROM r),
+x AS (SELECT *, {_READ} AS x FROM c)
+SELECT basename, par_idx, raw AS norm, array_to_string(tok, '|') AS tok, x.ws AS ws, array_to_string(x.spans, ',') AS spans FROM x"""
+)
 def vanilla(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = C.sentences(spark, sf_dir).select("basename", "par_idx", "orig_tok", F.col("orig_tok").alias("norm_tok"))
     return _edited(modifiers.vanilla(df))
@@ -229,9 +285,32 @@ def lang_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), "label", F.coalesce(F.col("label") == "de", F.lit(False)).alias("german"))
 
 
-@query()
+#: Signs of words' beginnings and ends are put into the text, as SQL's word boundaries know ASCII only.
+_MARKED = "regexp_replace(lower(orig), '([\\p{L}\\p{M}\\p{Nd}\\p{Pc}]+)', '\x02\\1\x03', 'g')"
+
+
+def _lettered(pattern: str) -> str:
+    """A pattern's word boundaries as the signs: before a letter the beginning's, else the end's."""
+    return re.sub(r"\\b(\w)?", lambda m: f"\x02{m[1]}" if m[1] else "\x03", pattern)
+
+
+def _label(votes: str) -> str:
+    """The language with most votes of the list of columns, the first of equal ones."""
+    names = [f"{votes}_{k}" for k in models.COMMON_WORDS]
+    return "CASE " + " ".join(f"WHEN {n} > 0 AND {n} = greatest({', '.join(names)}) THEN '{k}'" for n, k in zip(names, models.COMMON_WORDS, strict=True)) + " END"
+
+
+_COLUMNS = ", ".join([*(f"{_votes_sql(w)} AS w_{k}" for k, w in models.COMMON_WORDS.items()), *(f"len(regexp_extract_all({_MARKED}, '{_lettered(p)}')) AS l_{k}" for k, p in models.LETTER_SIGNS.items())])
+_SHARES = ", ".join(f"CASE WHEN w_{k} * 10 >= n THEN w_{k} ELSE 0 END AS s_{k}" for k in models.COMMON_WORDS)
+
+
+@query(
+    f"""WITH {C.SENTENCES}, v AS (SELECT basename, par_idx, len(regexp_split_to_array(lower(orig), '[^\\p{{L}}]+')) AS n, {_COLUMNS} FROM s),
+x AS (SELECT *, {_SHARES} FROM v), y AS (SELECT basename, par_idx, {_label("w")} AS a, {_label("l")} AS b, {_label("s")} AS c FROM x)
+SELECT basename, par_idx, a AS "lang_fastText", b AS lang_py3langid, c AS lang_cld3, round((coalesce(a = 'de', false)::INT + coalesce(b = 'de', false)::INT + coalesce(c = 'de', false)::INT) / 3.0::DOUBLE, 3) AS lang_de FROM y"""
+)
 def lang_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.detect_language()(C.sentences(spark, sf_dir)).select("basename", "par_idx", *models.DETECTORS, "lang_de")
+    return models.detect_language()(C.sentences(spark, sf_dir)).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), *models.DETECTORS, "lang_de")
 
 
 @query()
