@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import materialize
+from .runtime import lean, materialize
 
 TOP = 20
 #: Vectors of a list, at first; most lists; bytes that all centroids may take.
@@ -160,7 +160,7 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
             row, col = np.nonzero((ids >= 0) & (dist <= dist[:, :1] * REPLICA + 1e-9))
             yield pa.RecordBatch.from_arrays([pa.array(ids[row, col]), batch.column(0).take(row), batch.column(1).take(row)], ["list", "did", "v"])
 
-    postings = materialize(kinds.select("did", "v").mapInArrow(assign, "list int, did bigint, v array<double>"), "postings")
+    postings = materialize(kinds.select("did", "v").mapInArrow(lean(assign), "list int, did bigint, v array<double>"), "postings")
     sizes = {r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}  # a row a list
     full = np.zeros(len(graph.c), np.int64)
     full[list(sizes)] = list(sizes.values())
@@ -210,7 +210,7 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", eve
         cols = [np.concatenate(x) for x in zip(*kept, strict=True)] if kept else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("qid", "did", "score"), cols, strict=True)))
 
-    probes = asked.select("qid", "v").mapInArrow(probe, "list int, part int, place int, qid bigint, q array<double>")
+    probes = asked.select("qid", "v").mapInArrow(lean(probe), "list int, part int, place int, qid bigint, q array<double>")
     split = spark.createDataFrame([(i, int(n)) for i, n in enumerate(chunks)], "list int, n int")  # a row a list
     dealt = postings.join(F.broadcast(split), "list").withColumn("part", F.pmod(F.xxhash64("did"), F.col("n")).cast("int"))
 
@@ -271,7 +271,7 @@ def _true(asked: DataFrame, kinds: DataFrame, top: int) -> tuple[list[int], np.n
         row, col = np.nonzero(score > -np.inf)
         yield pa.RecordBatch.from_arrays([pa.array(qid[row]), pa.array(did[row, col]), pa.array(score[row, col])], ["qid", "did", "score"])
 
-    found = kinds.select("did", "v").mapInArrow(best, "qid bigint, did bigint, score double")
+    found = kinds.select("did", "v").mapInArrow(lean(best), "qid bigint, did bigint, score double")
     ranked = found.withColumn("_r", F.expr("row_number() OVER (PARTITION BY qid ORDER BY score DESC, did)"))
     return qid.tolist(), q, ranked.where(F.col("_r") <= top).select("qid", "did")
 

@@ -17,13 +17,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .runtime import HashTable
+from .runtime import HashTable, lean
 
 _NONE = np.int32(2**31 - 1)
 #: Longest piece, in bytes, that is merged in a matrix.
 WIDEST = 256
-#: Pieces, and words with what touches them, whose ids a worker remembers; those last used go last.
-REMEMBERED = 100_000
+#: Pieces, and words with what touches them, whose ids a worker remembers, and their greatest length; those last used go last.
+REMEMBERED, REMEMBERED_LENGTH = 80_000, 64
 #: The usual pattern of byte-level vocabularies.
 CUT_AT_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -47,8 +47,8 @@ class Bpe:
         self.pairs, self.made = HashTable(np.array(keys, np.int64)), np.array([*made, _NONE], np.int32)
         #: In the usual pattern a space between two other characters always begins a piece: texts are cut there.
         self.cuts = pattern == CUT_AT_SPACES
-        self.chunks: list[dict] = [{}, {}]
-        self.pieces: list[dict] = [{}, {}]
+        self.chunks: list[dict] = [{}, {}, {}]
+        self.pieces: list[dict] = [{}, {}, {}]
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank that joining ids a and b has; _NONE if they don't join or one is padding (negative)."""
@@ -143,13 +143,17 @@ class Bpe:
         return out
 
     def remembered(self, keys: set[str], memo: list[dict], make) -> dict[str, bytes | None]:
-        """Values of keys from two generations of a memo; make(new keys) gives those that neither has."""
-        young, old = memo
+        """Values of keys from two generations of a memo; make(new keys) gives those that neither has. Long keys go again at
+        the next call, so that a memo is bounded in bytes."""
+        young, old, long = memo
+        for k in long:
+            young.pop(k, None)
         if len(young) > REMEMBERED:
-            memo[:] = young, old = {}, young
+            young, old = {}, young
         new = keys - young.keys()
         young.update((k, old[k]) for k in new & old.keys())
         young.update(make(new - old.keys()))
+        memo[:] = young, old, {k: None for k in new if len(k) > REMEMBERED_LENGTH}
         return young
 
     def encode_chunks(self, chunks: set[str]) -> dict[str, bytes | None]:
@@ -181,7 +185,7 @@ def _loaded(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def _batches(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Array, list]]:
+def _batches(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[pa.Array, list]]:
     """Ids and values of runs of rows of bounded size."""
     n, step = batch.num_rows, max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
     for i in range(0, n, step):
@@ -206,7 +210,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
                 yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), *back], ["k", "token_ids", "n_tokens", "decoded"][: 3 + decoded])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(run, f"k {kind}, token_ids binary, n_tokens bigint" + ", decoded binary" * decoded)
+    out = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(lean(run), f"k {kind}, token_ids binary, n_tokens bigint" + ", decoded binary" * decoded)
     return out.withColumnRenamed("k", key)
 
 
@@ -218,10 +222,10 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id
         for batch in batches:
             names = batch.schema.names
             at = names.index("token_ids")
-            for i in range(0, batch.num_rows, step := max(1, int(batch.num_rows * (4 << 20) / max(1, batch.nbytes)))):
+            for i in range(0, batch.num_rows, step := max(1, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes)))):
                 part = batch.slice(i, step)
                 made = pa.array([bpe.decode(x or b"") for x in part.column(at).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*names, "decoded"])
 
     plain = encoded.drop("decoded")
-    return plain.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + ", decoded binary")
+    return plain.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + ", decoded binary")

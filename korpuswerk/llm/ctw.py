@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import LOWER, NOT_SPACE, Hasher, HashTable, discard, materialize, passes, utf8, words
+from .runtime import LOWER, NOT_SPACE, HashTable, Hasher, discard, lean, materialize, passes, utf8, words
 
 DEPTH = 5
 PAD, END = 0xFE, 0xFF  # bytes that UTF-8 never has
@@ -119,7 +119,7 @@ def deep(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarra
     below: list = [None] * 8
     places, logs, zeros, ones = [], [], [], []
     for d in range(depth, 1, -1):
-        u, inv = np.unique(keys & ((1 << 8 * (d + 1)) - 1), return_inverse=True)
+        u, inv = np.unique(keys & ((1 << 8 * (d + 1)) - 1 if d < 7 else -1), return_inverse=True)  # depth 7 fills all 64 bits
         c = np.bincount(inv, n, len(u))
         for i in range(8):
             node = u >> (8 - i)
@@ -184,7 +184,7 @@ def counts(docs: DataFrame, key: str, text: str, train: Column, depth: int = DEP
     Words are told apart by 64-bit hashes; two of a million million words share one with a chance of about 3 in 100,000 a
     word, and would then be counted together."""
     picked = docs.select(docs[text].cast("string").alias("t"), train.alias("train"))
-    return picked.mapInArrow(lambda b: _count(b, depth), "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return picked.mapInArrow(lean(lambda b: _count(b, depth)), "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -216,7 +216,7 @@ def model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
             p = np.frombuffer(utf8(batch.column(1))[0].tobytes(), float).reshape(-1, 8)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sent.log10(keys, p))], ["key", "n", "lp"])
 
-    out = materialize(tree.where("not node").select("key", "p", "n0").mapInArrow(finish, "key bigint, n bigint, lp double"), "model")
+    out = materialize(tree.where("not node").select("key", "p", "n0").mapInArrow(lean(finish), "key bigint, n bigint, lp double"), "model")
     discard(tree)
     return out
 
@@ -292,7 +292,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", mod: int = 7
                 rid += rows
 
     kind = docs.schema[key].dataType.simpleString()
-    heads = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(run, f"rid bigint, k {kind}, n_tokens bigint, n_known bigint, base double, lp double, n_bytes bigint, tail_w array<bigint>, tail_g array<bigint>")
+    heads = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t")).mapInArrow(lean(run), f"rid bigint, k {kind}, n_tokens bigint, n_known bigint, base double, lp double, n_bytes bigint, tail_w array<bigint>, tail_g array<bigint>")
     heads = materialize(heads, "heads")
     tails = [
         heads.select("rid", F.explode("tail_w").alias("key")).join(vocabulary.where(F.col("n") < floor_w), "key", "left").select("rid", F.coalesce("n", F.lit(0)).alias("n")).groupBy("rid").agg(F.sum(F.log10((F.col("n") + 1) / total)).alias("base2"), F.count(F.when(F.col("n") > 0, 1)).alias("known2")),

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import LOWER, WORDLIKE, discard, materialize
+from .runtime import LOWER, WORDLIKE, discard, lean, materialize
 
 #: Item words of a window.
 WINDOW = 10
@@ -159,7 +159,7 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                     filed.count(words_of(t.as_py()), into)
             yield pa.RecordBatch.from_arrays([pa.array([b" ".join(s) for s in into], pa.binary()), pa.array(list(into.values()), pa.int64())], ["s", "n"])
 
-        counted = texts.mapInArrow(count, "s binary, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
+        counted = texts.mapInArrow(lean(count), "s binary, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
         # bounded: no more rows than the block has shingles
         rare = spark.sparkContext.broadcast({tuple(bytes(r.s).split(b" ")): r.n for r in counted.collect()})
 
@@ -175,7 +175,7 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                     n.append(len(words))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hit, pa.binary()), pa.array(found, batch.schema.field(3).type), pa.array(n, pa.int64())], ["t", "r", "hit", "items", "n_words"])
 
-        state = state.mapInArrow(find, f"{kinds}, {_STATE.format(kind=kind)}")
+        state = state.mapInArrow(lean(find), f"{kinds}, {_STATE.format(kind=kind)}")
     return state.select(F.col("r.k").alias(key), "n_words", "hit", "items", *[F.col(f"r.x{i}").alias(c) for i, c in enumerate(keep)])
 
 

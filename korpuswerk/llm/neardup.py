@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import NOT_SPACE, discard, hashed_words, materialize, mix, passes, utf8
+from .runtime import NOT_SPACE, discard, hashed_words, lean, materialize, mix, passes, utf8
 from .simhash import BkTree
 
 SIZE = 5
 LEAST = 0.8
 RADIUS = 24
-KEYS, CHUNK, LEVELS = 16, 4096, 4
+KEYS, CHUNK, LEVELS = 16, 512, 4
 _EMPTY = np.uint64(0x5EED)
 
 
@@ -173,7 +173,7 @@ def _links(members: DataFrame, kinds: DataFrame, sets: DataFrame, state: DataFra
         rows = rows.select("key", "chunk", "s", "fp", "hs", "stays", "first", "parts")
         n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ordered = rows.repartition(n, "key", "chunk").sortWithinPartitions("key", "chunk", F.desc("stays"), "first").select("key", "chunk", "s", "fp", "hs", "stays")
-        led = materialize(ordered.mapInArrow(lambda b: _lead(b, least, radius), "key bigint, s binary, by binary"), "led")
+        led = materialize(ordered.mapInArrow(lean(lambda b: _lead(b, least, radius)), "key bigint, s binary, by binary"), "led")
         found = led.where("by IS NOT NULL").select("by", "s")
         out = found if out is None else out.union(found)
         large = members.where("parts > 1").select("key").distinct()
@@ -181,7 +181,7 @@ def _links(members: DataFrame, kinds: DataFrame, sets: DataFrame, state: DataFra
             return out
         # those that lead in a chunk of a large shard meet by further hash functions
         rest = led.where("by IS NULL").join(large, "key", "left_semi").join(sets, "s").select("key", "s", "hs")
-        members = _members(materialize(rest.mapInArrow(lambda b, level=level: _deeper(b, level), "key bigint, s binary"), "deeper"), chunk)
+        members = _members(materialize(rest.mapInArrow(lean(lambda b, level=level: _deeper(b, level)), "key bigint, s binary"), "deeper"), chunk)
     return out
 
 
@@ -194,14 +194,14 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     """
     kind = docs.schema[key].dataType.simpleString()
     named = docs.select(docs[key].alias("k"), F.xxhash64(docs[text]).alias("th"), F.lower(docs[text].cast("string")).alias("t"))
-    every = materialize(named.mapInArrow(lambda b: _describe(b, size), f"k {kind}, th bigint, s binary, fp bigint, keys array<bigint>"), "described")
+    every = materialize(named.mapInArrow(lean(lambda b: _describe(b, size)), f"k {kind}, th bigint, s binary, fp bigint, keys array<bigint>"), "described")
     order = F.struct(F.col("k").isNull().alias("z"), "k", "th")
     kinds = materialize(every.groupBy("s").agg(F.min(order).alias("first"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "kinds")
     members = _members(kinds.select(F.explode("keys").alias("key"), "s"), chunk)
     some = members.select("s").distinct().join(kinds.select("s", "first"), "s").select(F.col("first.k").alias("_k"), F.col("first.th").alias("_th"))
     # the sets themselves are made only for those that share a shard
     again = named.join(some, named["k"].eqNullSafe(some["_k"]) & (named["th"] == some["_th"]), "left_semi").select("t")
-    sets = materialize(again.mapInArrow(lambda b: _sets(b, size), "s binary, hs binary").dropDuplicates(["s"]), "sets")
+    sets = materialize(again.mapInArrow(lean(lambda b: _sets(b, size)), "s binary, hs binary").dropDuplicates(["s"]), "sets")
     state, gone = members.select("s", F.lit(False).alias("stays")).distinct(), []
     while True:
         links = materialize(_links(members, kinds, sets, state, least, radius, chunk).distinct(), "links")

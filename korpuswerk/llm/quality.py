@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fitting import shift
-from .runtime import LOWER, NOT_SPACE, Hasher, byte_class, passes, utf8, words
+from .runtime import LOWER, NOT_SPACE, byte_class, hashed_words, lean, passes, utf8
 
 BUCKETS, RANK = 1 << 15, 8
 #: At most so many texts of each class are trained on, none longer than this many characters.
@@ -31,9 +31,8 @@ def features(data: np.ndarray, offs: np.ndarray, n_chars: np.ndarray) -> tuple[n
     """Sparse words (row, bucket, value) and dense statistics (row by len(STATS)) of rows of text."""
     rows, lens = len(offs) - 1, np.diff(offs)
     lower = LOWER[data]
-    s, e, wb = words(lower, offs, NOT_SPACE)
+    s, e, h, wb = hashed_words(lower, offs, NOT_SPACE)
     n, of = np.diff(wb), np.repeat(np.arange(rows), np.diff(wb))
-    h = Hasher(lower)(s, e)
     pair = np.unique(of.astype(np.uint64) << np.uint64(40) | h >> np.uint64(24), return_counts=True)
     row, bucket = (pair[0] >> np.uint64(40)).astype(np.int64), (pair[0] & np.uint64(BUCKETS - 1)).astype(np.int64)
     value = 1 + np.log(pair[1])
@@ -140,5 +139,5 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else np.zeros(0))], ["k", "score"])
 
     chars = F.coalesce(docs[n_chars].cast("double"), F.lit(0.0)) if n_chars and n_chars in docs.columns else F.lit(0.0)
-    made = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t"), chars.alias("n")).mapInArrow(run, f"k {docs.schema[key].dataType.simpleString()}, score double")
+    made = docs.select(docs[key].alias("k"), docs[text].cast("string").alias("t"), chars.alias("n")).mapInArrow(lean(run), f"k {docs.schema[key].dataType.simpleString()}, score double")
     return made.withColumnRenamed("k", key)

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where tables go if the session names no folder, as in tests.
+#: Where tables go if the session names no folder and runs on one machine, as in tests.
 OWN_FOLDER = "/tmp/checkpoints"
-#: Bytes of text that one numpy pass holds at once; a longer text is a pass of its own.
-PASS_BYTES = 3 << 20
+#: Bytes of text that one numpy pass holds at once. A longer text is a pass of its own, whose words are hashed in runs.
+PASS_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"file://{OWN_FOLDER}").rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset and the session
+    is local. On a cluster a local folder would be another one on each machine: ValueError."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (folder or f"file://{OWN_FOLDER}").rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,6 +46,20 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving back what it has freed to the system when a task ends: workers live on from stage to stage."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # only glibc has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, null as empty, and the rows' n + 1 offsets into them."""
     if pa.types.is_null(col.type):
@@ -122,13 +142,12 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2 to the 64."""
-    if len(_POWERS.get("up", ())) < n:
-        size = max(n, PASS_BYTES + 1)
-        for name, x in (("up", _M), ("down", pow(_M, -1, 1 << 64))):
-            p = np.full(size, x, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.cumprod(p, dtype=np.uint64)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+    up, down = _POWERS.get("up", ()), _POWERS.get("down", ())
+    if len(up) < n:
+        up, down = (np.cumprod(np.append(np.uint64(1), np.full(max(n, PASS_BYTES + 1) - 1, x, np.uint64)), dtype=np.uint64) for x in (_M, pow(_M, -1, 1 << 64)))
+        if n <= PASS_BYTES + 1:  # what a word of over a pass needs isn't kept
+            _POWERS.update(up=up, down=down)
+    return up[:n], down[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:

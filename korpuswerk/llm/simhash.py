@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import discard, materialize, passes, utf8
+from .runtime import discard, lean, materialize, passes, utf8
 
 SHINGLE = 3
 RADIUS = 3
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
                     out[a + i] = fingerprint(raw[o[i] : o[i + 1]].split())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out.view(np.int64))], [*batch.schema.names[:-1], "fp"])
 
-    out = docs.select(*cols, docs[text].cast("string").alias("t")).mapInArrow(run, f"{kinds}fp bigint")
+    out = docs.select(*cols, docs[text].cast("string").alias("t")).mapInArrow(lean(run), f"{kinds}fp bigint")
     return out.select(F.col("k").alias(key), "fp", *[F.col(f"x{i}").alias(c) for i, c in enumerate(keep)])
 
 
@@ -212,9 +212,9 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(distinct_fps: DataFrame) -> DataFrame:
     """Links (a, b), b < a unsigned, that connect exactly the fingerprints whose components are one. Input: distinct fp."""
-    dealt = distinct_fps.select("fp").mapInArrow(_deal, "shard bigint, fp bigint")
+    dealt = distinct_fps.select("fp").mapInArrow(lean(_deal), "shard bigint, fp bigint")
     n = dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return dealt.repartition(int(n), "shard").sortWithinPartitions("shard").mapInArrow(_trees, "a bigint, b bigint").distinct()
+    return dealt.repartition(int(n), "shard").sortWithinPartitions("shard").mapInArrow(lean(_trees), "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .fitting import shift
-from .runtime import LOWER, WORDLIKE, Hasher, mix, passes, utf8, words
+from .runtime import LOWER, WORDLIKE, Hasher, hashed_words, lean, mix, passes, utf8
 
 WIDTH, STEP = 32, 24
 WORDS, GRAMS, DIM, HIDDEN, ATTEND = 1 << 13, 1 << 14, 16, 10, 8
@@ -38,6 +38,12 @@ def _tanh(x: np.ndarray) -> np.ndarray:
     return 2 / (1 + np.exp(-2 * x)) - 1
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The numbers from each start up to its end, one range behind the other."""
+    n = ends - starts
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 class Text:
     """Rows of text as windows over their distinct words."""
 
@@ -68,10 +74,12 @@ class Text:
         """Of a pass: distinct words, each word's place among them, words of each row, n-grams of each distinct word, and
         these n-grams' places among the vectors."""
         lower = LOWER[data]
-        s, e, wb = words(lower, offs, WORDLIKE)
+        s, e, h, wb = hashed_words(lower, offs, WORDLIKE)
+        names, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        # from here on only the distinct words, put one behind the other
+        lower, e = lower[_ranges(s[first], e[first])], np.cumsum(e[first] - s[first])
+        s = np.concatenate([[0], e[:-1]])
         hasher = Hasher(lower)
-        names, first, inv = np.unique(hasher(s, e), return_index=True, return_inverse=True)
-        s, e = s[first], e[first]
         of, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n in SIZES:
             w = np.flatnonzero(e - s >= n)
@@ -266,5 +274,5 @@ def score(docs: DataFrame, net: Network, key: str = "doc_id", text: str = "text"
 
     cols = [docs[text].cast("string").alias("t"), docs[key].alias("k"), *[docs[c].alias(f"x{i}") for i, c in enumerate(keep)]]
     picked = docs.select(*cols)
-    made = picked.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema) + ", score double")
+    made = picked.mapInArrow(lean(run), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema) + ", score double")
     return made.select(made["k"].alias(key), "score", *[made[f"x{i}"].alias(c) for i, c in enumerate(keep)])
