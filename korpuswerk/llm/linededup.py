@@ -12,7 +12,8 @@ similarity of at least 0.8. Shorter lines are never touched.
    earliest, never as pairs.
 4. The edit distance to that earliest line is verified on the words.
 
-A line of n words costs n hashes of n words, only where it shares a half with another one. Tables that meet all lines are
+A variant's hash is the exclusive or of its words' hashes with their places in it, so that all of a line's variants follow
+from one running sum: a line of n words costs a few times n. Variants are made only where a line shares a half. Tables that meet all lines are
 broadcast up to SMALL rows, counted beforehand, and shuffled beyond.
 """
 
@@ -26,6 +27,8 @@ from .runtime import discard, materialize
 MIN_WORDS = 5
 #: Rows up to which a counted table is broadcast: at most some 20 MB.
 SMALL = 400_000
+#: Words of a line up to which a running sum is made in one go.
+BLOCK = 256
 
 
 def _sized(table: DataFrame) -> DataFrame:
@@ -61,12 +64,26 @@ def _halves() -> Column:
     return F.expr(f"array({', '.join(parts)})")
 
 
+_XOR = "(u, x) -> u ^ x"
+
+
+def _running(numbers: str) -> str:
+    """SQL for the exclusive or of all numbers before each one, in blocks and then over blocks, as a list that grows by one
+    is copied each time."""
+    before = lambda rows, x: f"aggregate({rows}, named_struct('u', 0L, 'a', CAST(array() AS ARRAY<BIGINT>)), (acc, x) -> named_struct('u', acc.u ^ {x}, 'a', array_append(acc.a, acc.u))).a"
+    blocks = f"transform(sequence(0, (size(ns) - 1) DIV {BLOCK}), i -> slice(ns, i * {BLOCK} + 1, {BLOCK}))"
+    made = f"flatten(flatten(transform(array({blocks}), bs -> zip_with(bs, {before('bs', f'aggregate(x, 0L, {_XOR})')}, (b, o) -> transform({before('b', 'x')}, y -> y ^ o)))))"
+    return f"flatten(transform(array({numbers}), ns -> if(size(ns) <= {BLOCK}, {before('ns', 'x')}, {made})))"
+
+
 def _near(found: DataFrame) -> DataFrame:
     """Of distinct lines (first, n, w): pairs (a, b) of a line's first place and an earlier one's within an edit."""
-    hashed = found.select("first", "n", F.expr("transform(split(w, ' '), x -> xxhash64(x))").alias("hs"))
-    variants = hashed.select("first", "n", F.explode(F.expr("transform(sequence(0, n - 1), p -> struct(p AS p, xxhash64(slice(hs, 1, p), slice(hs, p + 2, n)) AS r))")).alias("v")).select("first", "n", "v.p", "v.r")
+    # here: each word with its place; left: with its place one further left, as behind a deleted word
+    hashed = found.select("first", "n", F.split("w", " ").alias("ws")).select("first", "n", F.expr("transform(ws, (x, i) -> xxhash64(x, i))").alias("here"), F.expr("transform(ws, (x, i) -> xxhash64(x, i - 1))").alias("left"))
+    hashed = hashed.select("first", "n", F.expr(f"aggregate(here, 0L, {_XOR})").alias("whole"), "left", F.expr(f"aggregate(left, 0L, {_XOR})").alias("all"), F.expr(_running("zip_with(here, left, (x, y) -> x ^ y)")).alias("before"))
+    variants = hashed.select("first", "n", F.explode(F.expr("zip_with(sequence(0, n - 1), zip_with(left, before, (x, y) -> all ^ x ^ y), (p, r) -> struct(p, r))")).alias("v")).select("first", "n", "v.p", "v.r")
     variants = materialize(variants, "variants")
-    wholes = hashed.select(F.col("first").alias("s"), (F.col("n") + 1).alias("n"), F.xxhash64("hs").alias("r"))
+    wholes = hashed.select(F.col("first").alias("s"), (F.col("n") + 1).alias("n"), F.col("whole").alias("r"))
     exchanged = variants.groupBy("r", "n", "p").agg(F.min("first").alias("m"), F.max("first").alias("last")).where("m < last").drop("last")
     pairs = variants.join(exchanged, ["r", "n", "p"]).where("m < first").select(F.col("first").alias("a"), F.col("m").alias("b"))
     longest = variants.groupBy("r", "n").agg(F.min("first").alias("m"))
@@ -112,14 +129,16 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
     mark names a column to add with the places of dropped lines, in order (null if none). A null text stays null; a text
     all of whose lines are dropped becomes empty.
     """
-    drops = dropped(docs, key, text, min_words).select(F.col("k").alias("_k"), F.col("th").alias("_th"), F.col("drop").alias("_drop"))
-    joined = docs.withColumn("_mine", F.xxhash64(docs[text])).join(drops, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_mine") == F.col("_th")), "left")
-    kept = F.expr(f"array_join(filter(split(`{text}`, '\\n'), (x, i) -> NOT array_contains(_drop, i)), '\\n')")
-    new = {text: F.when(F.col("_drop").isNull(), F.col(text)).otherwise(kept)}
-    out = joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns], "_drop")
+    drops = dropped(docs, key, text, min_words)
+    # a row goes along as one column, so that no name of docs can clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("d"), docs[key].alias("mine"), docs[text].alias("t"), F.xxhash64(docs[text]).alias("hash"))
+    joined = rows.join(drops, rows["mine"].eqNullSafe(drops["k"]) & (rows["hash"] == drops["th"]), "left")
+    kept = F.expr("array_join(filter(split(t, '\\n'), (x, i) -> NOT array_contains(drop, i)), '\\n')")
+    out = joined.select("d", F.array_sort("drop").alias("places"), F.when(F.col("drop").isNull(), F.col("t")).otherwise(kept).alias("t"))
+    new = {text: F.col("t")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn(mark, F.array_sort("_drop")).drop("_drop") if mark else out.drop("_drop")
+        new["n_chars"] = F.when(F.col("places").isNull(), F.col("d")["n_chars"]).otherwise(F.length("t").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[new.get(c, F.col("d")[c]).alias(c) for c in docs.columns], *([F.col("places").alias(mark)] if mark else []))
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
