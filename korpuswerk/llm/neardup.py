@@ -35,7 +35,7 @@ from .simhash import BkTree
 SIZE = 5
 LEAST = 0.8
 RADIUS = 24
-KEYS, CHUNK, LEVELS = 16, 512, 4
+KEYS, CHUNK, LEVELS = 16, 2048, 4
 _EMPTY = np.uint64(0x5EED)
 
 
