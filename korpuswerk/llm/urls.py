@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 #: Standard deviations below the posterior mean where the bound lies, and the bad rate over which it blocks.
 Z, LIMIT = 1.645, 0.5
+# ---- fixed values ----
+#: Labels under which countries register names.
+SECOND = "ac co com edu gob gov go mil ne net or org sch".split()
+# ---- end of fixed values ----
+ADDRESS, TWO_LABELS = r"^([0-9]+([.][0-9]+){3}|\[.*)$", rf"(^|[.])({'|'.join(SECOND)})[.][a-z]{{2}}$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,9 +42,13 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> t
 
 
 def names(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and suffix (the last one), without user and port."""
+    """Registered domain and suffix, without user and port. The suffix is the last label, or the last two where a country's
+    code follows one of SECOND; the domain is one label more. An address in numbers or brackets is its own domain and
+    suffix. This is a rule, not the list of public suffixes: places like a.github.io count as one domain."""
     bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
-    return F.substring_index(bare, ".", -2), F.substring_index(bare, ".", -1)
+    address, second = bare.rlike(ADDRESS), bare.rlike(TWO_LABELS)
+    part = lambda n: F.substring_index(bare, ".", -n)
+    return F.when(address, bare).when(second, part(3)).otherwise(part(2)), F.when(address, bare).when(second, part(2)).otherwise(part(1))
 
 
 def reputations(outcomes: DataFrame, host: str = "host", bad: str = "bad", z: float = Z) -> DataFrame:
@@ -76,7 +85,8 @@ WITH u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(ur
 p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 known AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
 h0 AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS b, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS bare FROM p LEFT JOIN known ON page_id = doc_id GROUP BY host),
-h AS (SELECT *, array_to_string(string_split(bare, '.')[-2:], '.') AS domain, string_split(bare, '.')[-1] AS suffix FROM h0),
+h1 AS (SELECT *, CASE WHEN regexp_matches(bare, '{ADDRESS.replace("{", "{{").replace("}", "}}")}') THEN 9 WHEN regexp_matches(bare, '{TWO_LABELS.replace("{", "{{").replace("}", "}}")}') THEN 2 ELSE 1 END AS c FROM h0),
+h AS (SELECT *, array_to_string(string_split(bare, '.')[-1 - c:], '.') AS domain, array_to_string(string_split(bare, '.')[-c:], '.') AS suffix FROM h1),
 r AS (SELECT sum(n)::DOUBLE AS N_, sum(b)::DOUBLE AS B_, count(*) FILTER (WHERE n > 0) AS G, sum(n * n)::DOUBLE AS N2, sum(CASE WHEN n > 0 THEN b * b / n::DOUBLE END) AS S2 FROM h),
 f AS (SELECT (coalesce(B_, 0) + 0.5) / (coalesce(N_, 0) + 1) AS mu, CASE WHEN G > 1 AND B_ > 0 AND B_ < N_ AND N_ - N2 / N_ - (G - 1) > 0
   THEN greatest(0.001, least(0.5, (S2 - B_ * B_ / N_ - B_ * (N_ - B_) / (N_ * N_) * (G - 1)) / (B_ * (N_ - B_) / (N_ * N_) * (N_ - N2 / N_ - (G - 1))))) ELSE 0.5 END AS phi FROM r),

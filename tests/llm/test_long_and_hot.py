@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from korpuswerk.llm import fitting, linededup, neardup, pii, runtime, toxicity
+from korpuswerk.llm import fitting, linededup, neardup, pii, runtime, toxicity, urls
 
 
 def test_words_and_hashes_are_the_same_in_slices(monkeypatch):
@@ -152,3 +152,10 @@ def test_network_word_by_word():
         ws = r.split()
         starts = range(0, max(1, len(ws) - toxicity.WIDTH + toxicity.STEP), toxicity.STEP)
         assert abs(score - sigmoid(max(window(ws[i : i + toxicity.WIDTH]) for i in starts))) < 1e-4
+
+
+def test_registered_domains_and_suffixes(spark):
+    want = {"a.b.example.com": ("example.com", "com"), "x.co.uk": ("x.co.uk", "co.uk"), "www.x.co.uk:80": ("x.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.com": ("x.com", "com"), "co.example": ("co.example", "example"), "10.20.30.40:8080": ("10.20.30.40",) * 2, "u@10.20.30.40": ("10.20.30.40",) * 2, "[::1]:80": ("[::1]",) * 2, "localhost": ("localhost",) * 2, "": ("", "")}
+    domain, suffix = urls.names(F.col("h"))
+    rows = spark.createDataFrame([(h,) for h in want], "h string").select("h", domain.alias("d"), suffix.alias("s")).collect()
+    assert {r.h: (r.d, r.s) for r in rows} == want
