@@ -6,8 +6,9 @@ its children say, from the deepest context up to the empty one. The weights that
 probabilities, so a byte's code length after training is a product of mixtures along its context path.
 
 All contexts of all documents are counted (nothing is sampled or hashed together): tasks send counts of (context, byte)
-grams, which are summed by the shuffle. Nodes of depth 2 and more are worked out by the last two context bytes; depths 1 and
-0 have at most 65,280 and 255 nodes and are worked out on the driver.
+grams, which are summed by the shuffle. Nodes of depth 3 and more are worked out by the last three context bytes, runs of
+whole contexts at a time, so that a task holds a run and no more than one large context. Above that there are few nodes:
+at most some 40,000 pairs of bytes occur in UTF-8, of 255 nodes each, so depths 2 to 0 are worked out on the driver.
 
 Grams and words that occur often are broadcast, HEAD_GRAMS and HEAD_WORDS of them at most, and looked up as arrays. What a
 document has beyond these goes through a join; so neither the model nor the vocabulary needs to fit anywhere, and no join
@@ -25,9 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import LOWER, NOT_SPACE, HashTable, Hasher, discard, lean, materialize, passes, utf8, words
+from .runtime import LOWER, NOT_SPACE, PASS_BYTES, HashTable, discard, hashed_words, lean, materialize, passes, utf8
 
-DEPTH = 5
+DEPTH = 6
+#: Depth down to which nodes are worked out by the tasks, and grams that a task works out at once.
+SPLIT, RUN = 3, 1 << 17
+#: Counts that a task sums up before it sends them.
+HELD = 1 << 21
 PAD, END = 0xFE, 0xFF  # bytes that UTF-8 never has
 HEAD_WORDS, HEAD_GRAMS = 1 << 20, 1 << 21
 WORD, GRAM = 0, 1
@@ -72,6 +77,22 @@ def grams(data: np.ndarray, offs: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return g[own]
 
 
+def gram_runs(data: np.ndarray, offs: np.ndarray, depth: int = DEPTH) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row of each gram, grams) of a pass; a row longer than a pass comes in several runs."""
+    rows, lens = len(offs) - 1, np.diff(offs)
+    if rows != 1 or lens[0] <= PASS_BYTES:
+        yield np.repeat(np.arange(rows), lens + 1), grams(data, offs, depth)
+        return
+    for a in range(0, len(data), PASS_BYTES):
+        b = min(a + PASS_BYTES, len(data))
+        part = np.concatenate([np.full(max(0, depth - a), PAD, np.uint8), data[max(0, a - depth) : b], np.full(int(b == len(data)), END, np.uint8)])
+        g = np.zeros(len(part) - depth, np.int64)
+        for k in range(depth + 1):
+            g <<= 8
+            g |= part[k : len(part) - depth + k]
+        yield np.zeros(len(g), np.int64), g
+
+
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     u, inv = np.unique(np.concatenate(keys), return_inverse=True)
     return u, np.bincount(inv, np.concatenate(counts), len(u)).astype(np.int64)
@@ -80,7 +101,7 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
 def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
     """(kind, key, n) of text, train: words of training texts, grams of all (n is 0 for those of held-out texts)."""
     found: dict[int, tuple[list, list]] = {WORD: ([], []), GRAM: ([], [])}
-    done = 0
+    held = 0
 
     def out() -> Iterator[pa.RecordBatch]:
         for kind, (keys, counts) in found.items():
@@ -90,35 +111,42 @@ def _count(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordB
                 keys.clear()
                 counts.clear()
 
+    def add(kind: int, x: np.ndarray, weight: int) -> int:
+        u, n = np.unique(x, return_counts=True)
+        found[kind][0].append(u)
+        found[kind][1].append(n * weight)
+        return len(u)
+
     for batch in batches:
         data, offs = utf8(batch.column(0))
         train = batch.column(1).to_numpy(zero_copy_only=False)
         for a, b, part, o in passes(data, offs):
-            lens, keep = np.diff(o), train[a:b]
-            g = grams(part, o, depth)
-            of = np.repeat(keep, lens + 1)
-            lower = LOWER[part]
-            s, e, _ = words(lower, o, NOT_SPACE)
-            mine = keep[np.searchsorted(o, s, "right") - 1]
-            w = Hasher(lower)(s[mine], e[mine]).view(np.int64)
-            for kind, x, weight in ((WORD, w, 1), (GRAM, g[of], 1), (GRAM, g[~of], 0)):
-                u, n = np.unique(x, return_counts=True)
-                found[kind][0].append(u)
-                found[kind][1].append(n * weight)
-            done += len(part)
-            if done > 24 << 20:
-                yield from out()
-                done = 0
+            keep = train[a:b]
+            for of, g in gram_runs(part, o, depth):
+                held += add(GRAM, g[keep[of]], 1) + add(GRAM, g[~keep[of]], 0)
+            _, _, w, wb = hashed_words(LOWER[part], o, NOT_SPACE)
+            held += add(WORD, w.view(np.int64)[np.repeat(keep, np.diff(wb))], 1)
+            if held > HELD:
+                held = 0
+                for keys, counts in found.values():
+                    if keys:
+                        u, n = _summed(keys, counts)
+                        keys[:], counts[:] = [u], [n]
+                        held += len(u)
+                if held > HELD // 2:
+                    yield from out()
+                    held = 0
     yield from out()
 
 
 def deep(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all grams with the same last two context bytes: each one's eight bit probabilities at depth 2, and the depth-2
-    nodes' places (2 to the bit, less 1, plus the bits before), log block probabilities, zeros and ones."""
+    """Of all grams with the same last SPLIT context bytes, of one or several of these contexts: each one's eight bit
+    probabilities at that depth, and its nodes: names (the context's bytes, then one byte for the place: 2 to the bit,
+    less 1, plus the bits before), log block probabilities, zeros and ones."""
     p = np.empty((len(keys), 8))
     below: list = [None] * 8
     places, logs, zeros, ones = [], [], [], []
-    for d in range(depth, 1, -1):
+    for d in range(depth, SPLIT - 1, -1):
         u, inv = np.unique(keys & ((1 << 8 * (d + 1)) - 1 if d < 7 else -1), return_inverse=True)  # depth 7 fills all 64 bits
         c = np.bincount(inv, n, len(u))
         for i in range(8):
@@ -141,8 +169,8 @@ def deep(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarra
                 w = np.exp(_HALF + lk - lw)[at][inv]
                 p[:, i] = w * kt[inv] + (1 - w) * p[:, i]
             below[i] = (names, lw)
-            if d == 2:
-                places.append((1 << i) - 1 + (names & ((1 << i) - 1)))
+            if d == SPLIT:
+                places.append(names >> i << 8 | (1 << i) - 1 + (names & ((1 << i) - 1)))
                 logs.append(lw)
                 zeros.append(n0)
                 ones.append(n1)
@@ -150,31 +178,37 @@ def deep(keys: np.ndarray, n: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarra
 
 
 class Top:
-    """The nodes of depths 1 and 0, dense by last byte and place."""
-
-    def __init__(self, byte: np.ndarray, place: np.ndarray, logs: np.ndarray, n0: np.ndarray, n1: np.ndarray):
-        zeros, ones, below = np.zeros((256, 255)), np.zeros((256, 255)), np.zeros((256, 255))
-        zeros[byte, place], ones[byte, place], below[byte, place] = n0, n1, logs
-        lk = log_kt(zeros, ones)
-        lw = np.logaddexp(_HALF + lk, _HALF + below)
-        self.one1, self.weight1 = (ones + 0.5) / (zeros + ones + 1), np.exp(_HALF + lk - lw)
-        z0, o0 = zeros.sum(0), ones.sum(0)
-        lk0 = log_kt(z0, o0)
-        lw0 = np.logaddexp(_HALF + lk0, _HALF + lw.sum(0))
-        self.one0, self.weight0 = (o0 + 0.5) / (z0 + o0 + 1), np.exp(_HALF + lk0 - lw0)
+    """The nodes of depths 2 to 0. key: of those of depth 2, the context's bytes and the place; logs: what their children
+    say. Weights and estimates lie dense by context and place, of the contexts that occur: 4 KB each."""
+
+    def __init__(self, key: np.ndarray, logs: np.ndarray, n0: np.ndarray, n1: np.ndarray):
+        pairs, at = np.unique(key >> 8, return_inverse=True)
+        self.row = np.zeros(1 << 16, np.int32)
+        self.row[pairs] = np.arange(len(pairs))
+        self.levels = []
+        shape, at, place = (max(1, len(pairs)), 255), at, key & 255
+        for up in (pairs & 255, np.zeros(256, np.int64), None):
+            zeros, ones, below = np.zeros(shape), np.zeros(shape), np.zeros(shape)
+            for table, x in ((zeros, n0), (ones, n1), (below, logs)):
+                np.add.at(table, (at, place), x)
+            lk = log_kt(zeros, ones)
+            lw = np.logaddexp(_HALF + lk, _HALF + below)
+            self.levels.append((np.exp(_HALF + lk - lw), (ones + 0.5) / (zeros + ones + 1)))
+            if up is not None:
+                n0, n1, logs = zeros[: len(up)].ravel(), ones[: len(up)].ravel(), lw[: len(up)].ravel()
+                at, place = np.repeat(up, 255), np.tile(np.arange(255), len(up))
+                shape = (256 if len(self.levels) == 1 else 1, 255)
 
     def log10(self, keys: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Log probabilities of the grams' bytes, from their bits' probabilities at depth 2."""
-        sym, last = keys & 255, (keys >> 8) & 255
+        """Log probabilities of the grams' bytes, from their bits' probabilities at depth SPLIT."""
+        sym, contexts = keys & 255, (self.row[(keys >> 8) & 65535], (keys >> 8) & 255, 0)
         out = np.zeros(len(keys))
         for i in range(8):
-            place = (1 << i) - 1 + (sym >> (8 - i))
-            bit = (sym >> (7 - i)) & 1
-            w = self.weight1[last, place]
-            one = self.one1[last, place]
-            q = w * np.where(bit == 1, one, 1 - one) + (1 - w) * p[:, i]
-            w, one = self.weight0[place], self.one0[place]
-            out += np.log10(w * np.where(bit == 1, one, 1 - one) + (1 - w) * q)
+            place, bit, q = (1 << i) - 1 + (sym >> (8 - i)), (sym >> (7 - i)) & 1, p[:, i]
+            for (weight, one), at in zip(self.levels, contexts, strict=True):
+                w, est = weight[at, place], one[at, place]
+                q = w * np.where(bit == 1, est, 1 - est) + (1 - w) * q
+            out += np.log10(q)
         return out
 
 
@@ -190,31 +224,45 @@ def counts(docs: DataFrame, key: str, text: str, train: Column, depth: int = DEP
 def model(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(key, n, lp): every gram with its training count and log10 probability, from counts() as a written table."""
 
-    def work(table: pa.Table) -> pa.Table:
-        keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-        p, place, logs, n0, n1 = deep(keys, n, depth)
-        a, b, last = len(keys), len(place), (int(keys[0]) >> 8) & 255
-        return pa.table({
-            "node": pa.array(np.repeat([False, True], [a, b])),
-            "key": np.concatenate([keys, last << 8 | place]),
-            "p": pa.concat_arrays([pa.array([x.tobytes() for x in p], pa.binary()), pa.nulls(b, pa.binary())]),
-            "lw": np.concatenate([np.zeros(a), logs]),
-            "n0": np.concatenate([n, n0]),
-            "n1": np.concatenate([np.zeros(a, np.int64), n1]),
-        })
-
-    grouped = counted.where(F.col("kind") == GRAM).groupBy(F.expr("shiftright(key, 8) & 65535").alias("pair"))
-    tree = materialize(grouped.applyInArrow(work, "node boolean, key bigint, p binary, lw double, n0 bigint, n1 bigint"), "tree")
-    # at most 65,280 rows
-    top = tree.where("node").groupBy("key").agg(F.sum("lw").alias("lw"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
-    k = top.column("key").to_numpy()
-    sent = Top(k >> 8, k & 255, *[top.column(c).to_numpy() for c in ("lw", "n0", "n1")])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows (key, n) sorted by their last SPLIT context bytes."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def made(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            p, name, logs, n0, n1 = deep(keys, n, depth)
+            a, b = len(keys), len(name)
+            ends = np.concatenate([np.arange(a + 1), np.full(b, a)]).astype(np.int32) * 64
+            bits = pa.Array.from_buffers(pa.binary(), a + b, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(p))])
+            cols = (np.repeat([False, True], [a, b]), np.concatenate([keys, name]), bits, np.concatenate([np.zeros(a), logs]), np.concatenate([n, n0]), np.concatenate([np.zeros(a, np.int64), n1]))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "key", "p", "lw", "n0", "n1"])
+
+        for batch in batches:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            if sum(len(k) for k, _ in held) >= RUN:
+                keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                context = (keys >> 8) & ((1 << 8 * SPLIT) - 1)
+                cut = int(np.flatnonzero(context != context[-1])[-1]) + 1 if context[0] != context[-1] else 0
+                if cut:
+                    yield made(keys[:cut], n[:cut])
+                held = [(keys[cut:], n[cut:])]
+        if held:
+            keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            if len(keys):
+                yield made(keys, n)
+
+    context = F.expr(f"shiftright(key, 8) & {(1 << 8 * SPLIT) - 1}")
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counted.where(F.col("kind") == GRAM).select("key", "n", context.alias("context")).repartition(parts, "context").sortWithinPartitions("context").select("key", "n")
+    tree = materialize(dealt.mapInArrow(lean(work), "node boolean, key bigint, p binary, lw double, n0 bigint, n1 bigint"), "tree")
+    # at most 255 rows for each pair of bytes that occurs
+    top = tree.where("node").groupBy((F.col("key") % (1 << 24)).alias("key")).agg(F.sum("lw").alias("lw"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    sent = counted.sparkSession.sparkContext.broadcast(Top(*[top.column(c).to_numpy() for c in ("key", "lw", "n0", "n1")]))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
             p = np.frombuffer(utf8(batch.column(1))[0].tobytes(), float).reshape(-1, 8)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sent.log10(keys, p))], ["key", "n", "lp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(sent.value.log10(keys, p))], ["key", "n", "lp"])
 
     out = materialize(tree.where("not node").select("key", "p", "n0").mapInArrow(lean(finish), "key bigint, n bigint, lp double"), "model")
     discard(tree)
@@ -271,16 +319,15 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", mod: int = 7
             data, offs = utf8(batch.column(1))
             for a, b, part, o in passes(data, offs):
                 rows, lens = b - a, np.diff(o)
-                of = np.repeat(np.arange(rows), lens + 1)
-                keys = grams(part, o, depth)
-                at = gt.find(keys)
-                lp = np.bincount(of, glp[at], rows)
-                lost = at < 0
-                tail_g, bounds_g = keys[lost], np.searchsorted(of[lost], np.arange(rows + 1))
-                lower = LOWER[part]
-                s, e, wb = words(lower, o, NOT_SPACE)
-                wkeys = Hasher(lower)(s, e).view(np.int64)
-                wof = np.repeat(np.arange(rows), np.diff(wb))
+                lp, lost_of, lost_g = np.zeros(rows), [], []
+                for of, keys in gram_runs(part, o, depth):
+                    at = gt.find(keys)
+                    lp += np.bincount(of, glp[at], rows)
+                    lost_of.append(of[at < 0])
+                    lost_g.append(keys[at < 0])
+                tail_g, bounds_g = np.concatenate(lost_g), np.searchsorted(np.concatenate(lost_of), np.arange(rows + 1))
+                _, _, wkeys, wb = hashed_words(LOWER[part], o, NOT_SPACE)
+                wkeys, wof = wkeys.view(np.int64), np.repeat(np.arange(rows), np.diff(wb))
                 at = wt.find(wkeys)
                 c = wn[at]
                 base = np.bincount(wof, np.where((at >= 0) | all_words, np.log10((c + 1) / total), 0.0), rows) + np.log10((ends + 1) / total)
