@@ -10,8 +10,9 @@ documents have it. So
    before the text's start, the length bound those beyond its end;
 4. the words of a proposed place are compared with all of the window's.
 
-The benchmark is sent to the tasks in blocks of at most BLOCK_BYTES of item text; a larger one takes several rounds over
-the documents, each adding to what the rounds before found. Documents are never shuffled.
+Windows and shingles are arrays, built once on the driver and looked up for a whole pass of text at a time. The benchmark is
+sent to the tasks in blocks of at most BLOCK_BYTES of item text; a larger one takes several rounds over the documents,
+each adding to what the rounds before found. Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import LOWER, WORDLIKE, discard, lean, materialize
+from .runtime import LOWER, WORDLIKE, HashTable, discard, hashed_words, lean, materialize, mix, passes, utf8
 
 #: Item words of a window.
 WINDOW = 10
@@ -49,62 +50,98 @@ def windows_of(words: list[bytes], size: int = WINDOW) -> list[tuple[bytes, ...]
     return [tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
 
 
-def shingles_of(window: tuple[bytes, ...], size: int = SHINGLE) -> list[tuple[bytes, ...]]:
-    """All shingles of a window; a window of fewer words is one."""
-    return [window[i : i + size] for i in range(max(1, len(window) - size + 1))]
-
-
-class Filed:
-    """The windows of a block of items, each under its rarest shingle."""
-
-    def __init__(self, items: list[tuple[object, str]], counts: dict[tuple[bytes, ...], int] | None = None):
-        owners: dict[tuple[bytes, ...], set] = {}
-        for item, text in items:
-            for w in windows_of(words_of(text)):
-                owners.setdefault(w, set()).add(item)
-        self.owners = owners
-        self.shingles: set[tuple[bytes, ...]] = {s for w in owners for s in shingles_of(w)}
-        self.sizes = sorted({len(s) for s in self.shingles})
-        self.first = {s[0] for s in self.shingles}
-        self.under: dict[tuple[bytes, ...], list[tuple[int, tuple[bytes, ...]]]] = {}
-        if counts is not None:
-            for w in owners:
-                found = shingles_of(w)
-                at = min(range(len(found)), key=lambda i: (counts.get(found[i], 0), i))
-                self.under.setdefault(found[at], []).append((at, w))
-            self.first = {s[0] for s in self.under}
-            self.sizes = sorted({len(s) for s in self.under})
-
-    def count(self, words: list[bytes], into: dict[tuple[bytes, ...], int]) -> None:
-        """Add how often the words have each shingle."""
-        first, known = self.first, self.shingles
-        for i in [i for i, w in enumerate(words) if w in first]:
-            for n in self.sizes:
-                s = tuple(words[i : i + n])
-                if s in known:
-                    into[s] = into.get(s, 0) + 1
-
-    def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
-        """Where windows occur, as (start, end) among the words, and the items they belong to."""
-        first, under, n, spans, items = self.first, self.under, len(words), [], set()
-        for i in [i for i, w in enumerate(words) if w in first]:
-            for size in self.sizes:
-                for at, window in under.get(tuple(words[i : i + size]), ()):
-                    start, end = i - at, i - at + len(window)
-                    if start >= 0 and end <= n and tuple(words[start:end]) == window:
-                        spans.append((start, end))
-                        items |= self.owners[window]
-        return spans, items
-
-
-def _mark(spans: list[tuple[int, int]], n: int, old: bytes | None) -> bytes | None:
-    """A byte for each word: 1 in any span or where old has 1; None if there is no 1."""
-    if not spans:
-        return old
-    hit = np.frombuffer(old, np.uint8).copy() if old else np.zeros(n, np.uint8)
-    for a, b in spans:
-        hit[a:b] = 1
-    return hit.tobytes()
+def _joined(h: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of `size` words from each place on."""
+    out = np.full(len(at), size, np.uint64)
+    for j in range(size):
+        out = mix(out * np.uint64(3) + h[at + j])
+    return out.view(np.int64)
+
+
+class Windows:
+    """The distinct windows of a block of items, as arrays: it is built once, on the driver, and broadcast.
+
+    A window is a stretch of the items' words. It has a hash of all its words and one for each of its shingles; shingles
+    are numbered through.
+    """
+
+    def __init__(self, items: list[tuple[object, str]], size: int = WINDOW, shingle: int = SHINGLE):
+        raw = [(t or "").encode() for _, t in items]
+        self.text = LOWER[np.frombuffer(b"".join(raw), np.uint8)]
+        self.starts, self.ends, h, wb = hashed_words(self.text, np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64), WORDLIKE)
+        n = np.diff(wb)
+        count = np.where(n > 0, np.maximum(n - size + 1, 1), 0)
+        item = np.repeat(np.arange(len(n)), count)
+        first = wb[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+        length = np.minimum(n[item], size)
+        hashes = np.zeros(len(item), np.int64)
+        for k in np.unique(length):
+            hashes[length == k] = _joined(h, first[length == k], int(k))
+        order = np.lexsort((item, hashes))
+        new = np.ones(len(order), bool)
+        new[1:] = hashes[order][1:] != hashes[order][:-1]
+        self.first, self.length, self.hash = first[order][new], length[order][new], hashes[order][new]
+        # the items of each window, by their place among the distinct ids
+        self.ids = list(dict.fromkeys(k for k, _ in items if k is not None))
+        place = {k: i for i, k in enumerate(self.ids)}
+        owner = np.array([place.get(k, -1) for k, _ in items], np.int64)[item[order]] if items else np.zeros(0, np.int64)
+        pair = np.unique(np.stack([np.cumsum(new) - 1, owner], 1)[owner >= 0], axis=0).reshape(-1, 2)
+        self.owner, self.owners = pair[:, 1], np.searchsorted(pair[:, 0], np.arange(len(self.first) + 1))
+        # shingles: of each size those of the windows that long (shorter windows are one shingle of their own length)
+        self.sizes: list[tuple[int, HashTable, np.ndarray, np.ndarray]] = []
+        for k in range(1, shingle + 1):
+            own = np.flatnonzero(np.minimum(self.length, shingle) == k)
+            if len(own):
+                width = int(self.length[own].max()) - k + 1
+                at = self.first[own][:, None] + np.minimum(np.arange(width), (self.length[own] - k)[:, None])
+                names, number = np.unique(_joined(h, at.ravel(), k), return_inverse=True)
+                self.sizes.append((k, HashTable(names), own, number.reshape(at.shape)))
+
+    def file(self, counts: list[np.ndarray]) -> None:
+        """File each window under the rarest of its shingles, the first of equal ones. counts: of each size's shingles."""
+        self.filed = []
+        for (k, table, own, number), n in zip(self.sizes, counts, strict=True):
+            offset = n[number].argmin(1)  # places beyond a short window's end repeat its last shingle
+            under = number[np.arange(len(own)), offset]
+            order = np.argsort(under, kind="stable")
+            self.filed.append((k, table, own[order], offset[order], np.searchsorted(under[order], np.arange(len(table.keys) + 1))))
+
+    def count(self, h: np.ndarray, wb: np.ndarray) -> list[np.ndarray]:
+        """How often rows of words have each shingle, by size."""
+        out = []
+        for k, table, _, _ in self.sizes:
+            at = table.find(_joined(h, _places(wb, k), k))
+            out.append(np.bincount(at[at >= 0], minlength=len(table.keys)))
+        return out
+
+    def find(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, wb: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where windows occur in rows of words: first word, window, row."""
+        found = [np.zeros((0, 3), np.int64)]
+        for k, table, windows, offsets, bounds in self.filed:
+            at = _places(wb, k)
+            under = table.find(_joined(h, at, k))
+            at, under = at[under >= 0], under[under >= 0]
+            n = bounds[under + 1] - bounds[under]
+            pick = np.repeat(bounds[under] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            window, first = windows[pick], np.repeat(at, n) - offsets[pick]
+            row = np.searchsorted(wb, np.repeat(at, n), "right") - 1
+            fits = (first >= wb[row]) & (first + self.length[window] <= wb[row + 1])  # positional and length bounds
+            window, first, row = window[fits], first[fits], row[fits]
+            same = np.zeros(len(first), bool)
+            for size in np.unique(self.length[window]):
+                some = np.flatnonzero(self.length[window] == size)
+                same[some] = _joined(h, first[some], int(size)) == self.hash[window[some]]
+            for i in np.flatnonzero(same):  # the words themselves
+                a, b, size = first[i], self.first[window[i]], int(self.length[window[i]])
+                same[i] = all(text[starts[a + j] : ends[a + j]].tobytes() == self.text[self.starts[b + j] : self.ends[b + j]].tobytes() for j in (range(size)))
+            found.append(np.stack([first[same], window[same], row[same]], 1))
+        return tuple(np.concatenate(found).T)
+
+
+def _places(wb: np.ndarray, size: int) -> np.ndarray:
+    """The words from which on `size` words of the same row follow."""
+    n = np.maximum(np.diff(wb) - size + 1, 0)
+    return np.repeat(wb[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
 
 def blocks(items: DataFrame, item: str, text: str, most: int = BLOCK_BYTES) -> Iterator[list[tuple[object, str]]]:
@@ -150,30 +187,50 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             if before is not None:
                 discard(before)
             before = state
-        sent = spark.sparkContext.broadcast(block)
+        windows = Windows(block)
+        sent = spark.sparkContext.broadcast(windows)  # some 30 times the block's bytes
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            filed, into = Filed(sent.value), {}
+            counts = [np.zeros(len(x[1].keys), np.int64) for x in sent.value.sizes]
             for batch in batches:
-                for t in batch.column(0):
-                    filed.count(words_of(t.as_py()), into)
-            yield pa.RecordBatch.from_arrays([pa.array([b" ".join(s) for s in into], pa.binary()), pa.array(list(into.values()), pa.int64())], ["s", "n"])
-
-        counted = texts.mapInArrow(lean(count), "s binary, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-        # bounded: no more rows than the block has shingles
-        rare = spark.sparkContext.broadcast({tuple(bytes(r.s).split(b" ")): r.n for r in counted.collect()})
-
-        def find(batches: Iterator[pa.RecordBatch], sent=sent, rare=rare) -> Iterator[pa.RecordBatch]:
-            filed = Filed(sent.value, rare.value)
+                for _, _, part, o in passes(*utf8(batch.column(0))):
+                    _, _, h, wb = hashed_words(LOWER[part], o, WORDLIKE)
+                    for total, n in zip(counts, sent.value.count(h, wb), strict=True):
+                        total += n
+            for size, n in enumerate(counts):
+                some = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), size, np.int32)), pa.array(some), pa.array(n[some])], ["size", "s", "n"])
+
+        counted = texts.mapInArrow(lean(count), "size int, s bigint, n bigint").groupBy("size", "s").agg(F.sum("n").alias("n")).toArrow()
+        counts = [np.zeros(len(x[1].keys), np.int64) for x in windows.sizes]  # bounded: no more rows than the block has shingles
+        size, s, n = (counted.column(c).to_numpy() for c in ("size", "s", "n"))
+        for i, c in enumerate(counts):
+            c[s[size == i]] = n[size == i]
+        windows.file(counts)
+        rare = spark.sparkContext.broadcast(windows)
+
+        def find(batches: Iterator[pa.RecordBatch], rare=rare) -> Iterator[pa.RecordBatch]:
+            index = rare.value
             for batch in batches:
-                hit, found, n = [], [], []
-                for t, old, had in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
-                    words = words_of(t.as_py())
-                    spans, owners = filed.find(words)
-                    hit.append(_mark(spans, len(words), old.as_py()))
-                    found.append(list((owners | set(had.as_py() or [])) - {None}) or None)
-                    n.append(len(words))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hit, pa.binary()), pa.array(found, batch.schema.field(3).type), pa.array(n, pa.int64())], ["t", "r", "hit", "items", "n_words"])
+                for a, b, part, o in passes(*utf8(batch.column(0))):
+                    text = LOWER[part]
+                    starts, ends, h, wb = hashed_words(text, o, WORDLIKE)
+                    first, window, row = index.find(text, starts, ends, h, wb)
+                    steps = np.bincount(first, minlength=len(h) + 1) - np.bincount(first + index.length[window], minlength=len(h) + 1)
+                    hit = np.cumsum(steps)[:-1] > 0
+                    n = index.owners[window + 1] - index.owners[window]
+                    pick = np.repeat(index.owners[window] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    pairs = np.unique(np.stack([np.repeat(row, n), index.owner[pick]], 1), axis=0)
+                    bounds = np.searchsorted(pairs[:, 0], np.arange(b - a + 1))
+                    hits, found = [], []
+                    for i, (old, had) in enumerate(zip(batch.column(2).slice(a, b - a).to_pylist(), batch.column(3).slice(a, b - a).to_pylist(), strict=True)):
+                        now = hit[wb[i] : wb[i + 1]]
+                        if old:
+                            now = now | (np.frombuffer(old, np.uint8) > 0)
+                        hits.append(now.astype(np.uint8).tobytes() if now.any() else None)
+                        ids = {index.ids[x] for x in pairs[bounds[i] : bounds[i + 1], 1]} | set(had or [])
+                        found.append(list(ids) or None)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(hits, pa.binary()), pa.array(found, batch.schema.field(3).type), pa.array(np.diff(wb))], ["t", "r", "hit", "items", "n_words"])
 
         state = state.mapInArrow(lean(find), f"{kinds}, {_STATE.format(kind=kind)}")
     return state.select(F.col("r.k").alias(key), "n_words", "hit", "items", *[F.col(f"r.x{i}").alias(c) for i, c in enumerate(keep)])
