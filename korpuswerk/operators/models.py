@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from korpuswerk.functions import text as X
-from korpuswerk.operators.modifiers import Modifier, retextualise
+from korpuswerk.operators.modifiers import Modifier, Tokenizer, retextualise
 from korpuswerk.schema import other, require
 
 # ---- fixed values ----
@@ -36,7 +36,7 @@ LETTER_SIGNS = {"de": "[äöüß]|sch|cht\\b|ung\\b|keit\\b", "en": "th|wh|ing\\
 # ---- end of fixed values ----
 
 
-def correct_by_rules(rules: set[str], layer: str = "norm") -> Modifier:
+def correct_by_rules(rules: set[str], layer: str = "norm", tokenizer: Tokenizer = X.raw2tok) -> Modifier:
     """Apply the enabled rules of RULES in their order; unknown ids are ignored, as a checker without them would. Changed
     texts are tokenised and aligned."""
 
@@ -46,12 +46,12 @@ def correct_by_rules(rules: set[str], layer: str = "norm") -> Modifier:
         for name, (pattern, new) in RULES.items():
             if name in rules:
                 out = F.regexp_replace(out, f"(?U){pattern}", new)
-        return retextualise(out, layer)(df)
+        return retextualise(out, layer, tokenizer)(df)
 
     return apply
 
 
-def correct(corrector: Callable[[], Callable[[str], str]], layer: str = "norm") -> Modifier:
+def correct(corrector: Callable[[], Callable[[str], str]], layer: str = "norm", tokenizer: Tokenizer = X.raw2tok) -> Modifier:
     """The same with any corrector: a function without arguments makes it, once in each Python worker."""
 
     @F.pandas_udf("string")
@@ -60,7 +60,7 @@ def correct(corrector: Callable[[], Callable[[str], str]], layer: str = "norm")
         for s in batches:
             yield s.map(lambda x: None if x is None else fix(x))
 
-    return lambda df: retextualise(run(layer), layer)(df)
+    return lambda df: retextualise(run(layer), layer, tokenizer)(df)
 
 
 def _most(votes: dict[str, Column]) -> Column:

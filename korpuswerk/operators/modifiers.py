@@ -19,6 +19,8 @@ from korpuswerk.functions import text as X
 from korpuswerk.schema import other, require
 
 Modifier = Callable[[DataFrame], DataFrame]
+#: From a text to struct(tok, ws): its tokens, and whether white space stands before each.
+Tokenizer = Callable[[Column], Column]
 #: Entries up to which a mapping becomes part of the expression: Spark looks a map's keys up one by one, Python by hash.
 INLINE = 32
 
@@ -52,12 +54,12 @@ def _rebuilt(df: DataFrame, layer: str, raw: Column, tok: Column, realign: bool)
     return df.drop("_raw", "_tok", "_sw", "_changed")
 
 
-def vanilla(df: DataFrame) -> DataFrame:
+def vanilla(df: DataFrame, tokenizer: Tokenizer = X.raw2tok) -> DataFrame:
     """Fill in what makers leave out: both texts from their tokens, norm tokenised anew, the alignment, flags, spans."""
     require(df.columns, "orig_tok", "norm_tok")
     ws = lambda layer: F.col(f"{layer}_ws") if f"{layer}_ws" in df.columns else F.lit(None).cast("array<boolean>")
     df = df.withColumns({f"{x}": X.tok2raw(F.col(f"{x}_tok"), ws(x)) for x in ("orig", "norm")})
-    df = df.withColumn("norm_tok", X.raw2tok(X.strip(F.col("norm")))["tok"])
+    df = df.withColumn("norm_tok", tokenizer(X.strip(F.col("norm")))["tok"])
     df = df.withColumn("alignment", A.align("orig_tok", "norm_tok"))
     for layer in ("orig", "norm"):
         df = df.withColumn("_sw", X.spans_ws_from_raw(F.col(f"{layer}_tok"), F.col(layer)))
@@ -178,7 +180,7 @@ def replace_ntom(mapping: dict[tuple[str, ...], tuple[str, ...]], source_layer:
     return apply
 
 
-def replace_raw(corrections: DataFrame, layer: str = "norm", uid: tuple[str, ...] = ("basename", "par_idx")) -> Modifier:
+def replace_raw(corrections: DataFrame, layer: str = "norm", uid: tuple[str, ...] = ("basename", "par_idx"), tokenizer: Tokenizer = X.raw2tok) -> Modifier:
     """Put corrected texts in the place of those with the same uid. corrections: uid columns, raw, and n, by which the last
     of several wins. Corrected rows are tokenised and aligned; Spark broadcasts the corrections if they are small."""
     other(layer)
@@ -188,16 +190,16 @@ def replace_raw(corrections: DataFrame, layer: str = "norm", uid: tuple[str, ...
         last = corrections.groupBy(*[F.col(c).alias(f"_{c}") for c in uid]).agg(F.max_by("raw", "n").alias("_c"))
         on = [df[c] == F.col(f"_{c}").cast(df.schema[c].dataType) for c in uid]
         df = df.join(last, on, "left").drop(*[f"_{c}" for c in uid]).withColumn("_changed", F.col("_c").isNotNull())
-        return _rebuilt(df, layer, F.col("_c"), X.raw2tok(X.strip(F.col("_c")))["tok"], True).drop("_c")
+        return _rebuilt(df, layer, F.col("_c"), tokenizer(X.strip(F.col("_c")))["tok"], True).drop("_c")
 
     return apply
 
 
-def retextualise(new_raw: Column, layer: str = "norm") -> Modifier:
+def retextualise(new_raw: Column, layer: str = "norm", tokenizer: Tokenizer = X.raw2tok) -> Modifier:
     """Put what a column expression gives in the place of the text, where it differs; tokenise and align those rows."""
 
     def apply(df: DataFrame) -> DataFrame:
         df = df.withColumn("_n", new_raw).withColumn("_changed", F.coalesce(F.col("_n") != F.col(layer), F.lit(False)))
-        return _rebuilt(df, layer, F.col("_n"), X.raw2tok(X.strip(F.col("_n")))["tok"], True).drop("_n")
+        return _rebuilt(df, layer, F.col("_n"), tokenizer(X.strip(F.col("_n")))["tok"], True).drop("_n")
 
     return apply

@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from korpuswerk.functions import text as X
 from korpuswerk.operators import metadata, models, modifiers
-from korpuswerk.operators.modifiers import Modifier
+from korpuswerk.operators.modifiers import Modifier, Tokenizer
 from korpuswerk.sources import mappings, readers
 
 
 def _made(read: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str, str], DataFrame]:
-    """Raw corpus and metadata to records."""
+    """Raw corpus and metadata to records; norm is tokenised by the tokenizer."""
 
-    def make(spark: SparkSession, data: str, meta: str) -> DataFrame:
-        return modifiers.vanilla(metadata.join(read(spark, data), readers.read_metadata(spark, meta)))
+    def make(spark: SparkSession, data: str, meta: str, tokenizer: Tokenizer = X.raw2tok) -> DataFrame:
+        return modifiers.vanilla(metadata.join(read(spark, data), readers.read_metadata(spark, meta)), tokenizer)
 
     return make
 

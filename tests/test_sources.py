@@ -55,7 +55,7 @@ def test_metadata(spark, corpus):
         readers.metadata_from_lines(bad).collect()
 
 
-def test_makers_and_programs(spark, corpus):
+def test_makers_and_programs(spark, corpus, capsys):
     made = registry.maker("DtakMaker")(spark, str(corpus / "tabs"), str(corpus / "meta.jsonl"))
     assert len(made.columns) == 18 and made.count() == 3
     assert len(registry.maker("dtaevalmaker")(spark, str(corpus / "xml"), str(corpus / "meta.jsonl")).columns) == 17
@@ -83,6 +83,12 @@ def test_makers_and_programs(spark, corpus):
     lex = [json.loads(x) for x in (corpus / "lex.jsonl").read_text().splitlines()]
     assert {"orig": "Ein", "norm": "Ein", "freq": 1, "docs": 1} in lex and [(x["orig"], x["norm"]) for x in lex] == sorted((x["orig"], x["norm"]) for x in lex)
 
+    capsys.readouterr()
+    split_dataset.main(["--input-dir", str(out), "--dry-run"])
+    split, name, decade, *_ = capsys.readouterr().out.split()
+    assert (split in ("train", "validation", "test"), name) == (True, "a") and int(decade) % 10 == 0
+    with pytest.raises(SystemExit):
+        split_dataset.main(["--input-dir", str(out)])
     split_dataset.main(["--input-dir", str(out), "--year-start", "1600", "--year-end", "1900", *[x for n in ("train", "validation", "test") for x in (f"--output-dir-{n}", str(corpus / n))]])
     assert sum((corpus / n / "a.jsonl").exists() for n in ("train", "validation", "test")) == 1 and (out / "a.jsonl").exists()
 
