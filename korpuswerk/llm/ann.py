@@ -133,55 +133,6 @@ def valid(table: DataFrame, key: str, vector: str) -> DataFrame:
     return v.where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(v, x -> x != 0)")
 
 
-def search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each row, `width` near centroids and their distances, nearest first; -1 and infinity beyond the last."""
-        out = [self._search(x[i : i + 512].astype(np.float32), width) for i in range(0, len(x), 512)]
-        return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
-
-    def _search(self, x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        n, width = len(x), min(width, len(self.c))
-        beam = max(width, min(len(self.c), 32))
-        norms, own = (self.c * self.c).sum(1), (x * x).sum(1)
-        ids = np.full((n, beam), -1, np.int32)
-        dist = np.full((n, beam), np.inf, np.float32)
-        open_ = np.zeros((n, beam), bool)
-        seen = np.zeros((n, len(self.c)), bool)
-        todo, found = np.arange(n), np.broadcast_to(self.entries, (n, len(self.entries)))
-        while len(todo):
-            order = np.sort(found, 1)
-            fresh = ~seen[todo[:, None], order]
-            fresh[:, 1:] &= order[:, 1:] != order[:, :-1]
-            seen[todo[:, None], order] = True
-            d = own[todo, None] + norms[order] - 2 * np.einsum("nd,nkd->nk", x[todo], self.c[order])
-            d = np.where(fresh, np.maximum(d, 0), np.inf)
-            all_d = np.concatenate([dist[todo], d], 1)
-            all_i = np.concatenate([ids[todo], np.where(fresh, order, -1)], 1)
-            all_o = np.concatenate([open_[todo], fresh], 1)
-            best = np.argsort(all_d, 1, kind="stable")[:, :beam]
-            take = lambda a: np.take_along_axis(a, best, 1)  # noqa: E731, B023
-            dist[todo], ids[todo], open_[todo] = take(all_d), take(all_i), take(all_o)
-            left = open_[todo].any(1)
-            todo = todo[left]
-            at = open_[todo].argmax(1)
-            open_[todo, at] = False
-            found = self.links[ids[todo, at]]
-        return ids[:, :width], np.sqrt(dist[:, :width])
-
-
-def _matrix(col: pa.Array, dim: int) -> np.ndarray:
-    return np.asarray(col.flatten(), np.float64).reshape(-1, dim)
-
-
-def valid(table: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
-    """(id, v) of the rows that take part, and their length: ids that aren't null, vectors of the commonest length that
-    are neither zero nor hold null or non-finite components."""
-    v = table.select(table[key].cast("bigint").alias("id"), table[vector].cast("array<double>").alias("v"))
-    good = v.where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity')) AND exists(v, x -> x != 0)")
-    sizes = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = sizes.n if sizes else 1
-    return good.where(F.size("v") == dim), dim
-
-
 def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 20, top: int = TOP, ratio: float | None = None, least_lists: int = LEAST_LISTS, list_size: int = LIST) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: of each row whose id is divisible by `every`, the `top` rows found with the
     largest inner products, itself left out; of equal scores the smaller id first. ratio is measured if none is given. Rows
