@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .runtime import LOWER, NOT_SPACE, PASS_BYTES, HashTable, discard, hashed_words, lean, materialize, passes, utf8
 
-DEPTH = 6
+DEPTH = 5
 #: Depth down to which nodes are worked out by the tasks, and grams that a task works out at once.
 SPLIT, RUN = 3, 1 << 17
 #: Counts that a task sums up before it sends them.
