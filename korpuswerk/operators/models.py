@@ -3,9 +3,9 @@ a parameter; the defaults work offline. They keep the columns' contract, not the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,15 +109,33 @@ def detect_language(layer: str = "orig", detectors: dict[str, Callable[[Column],
     return apply
 
 
+class _Costs(dict):
+    """What the last character of an n-gram costs, worked out once for each n-gram."""
+
+    def __init__(self, cost: Callable[[str], float], most: int):
+        super().__init__()
+        self.cost, self.most = cost, most
+
+    def __missing__(self, gram: str) -> float:
+        if len(self) >= self.most:
+            self.clear()
+        out = self[gram] = self.cost(gram)
+        return out
+
+
 class CharacterModel:
     """An interpolated character n-gram model: mean negative log-likelihood of all of a text's characters."""
 
+    #: n-grams that the driver gathers and a worker remembers at most.
+    MOST = 5_000_000
+
     def __init__(self, counts: dict[str, int], order: int = 4):
         self.order = order
         self.counts, self.contexts = counts, {}
         for gram, n in counts.items():
             self.contexts[gram[:-1]] = self.contexts.get(gram[:-1], 0) + n
         self.alphabet = len({g for g in counts if len(g) == 1}) + 1
+        self.costs = _Costs(self._cost, self.MOST)
 
     @staticmethod
     def count(texts: DataFrame, column: str, order: int = 4) -> DataFrame:
@@ -126,17 +144,24 @@ class CharacterModel:
         grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(order)), lambda n: F.transform(F.sequence(F.lit(order), F.length(padded)), lambda e: F.substring(padded, (e - n + 1).cast("int"), n.cast("int")))))
         return texts.where(F.col(column).isNotNull()).select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
+    @classmethod
+    def gathered(cls, counted: DataFrame) -> dict[str, int]:
+        """count()'s rows as a dictionary for a broadcast. A script's letters make some 100,000 n-grams; ValueError over MOST."""
+        rows = counted.limit(cls.MOST + 1).collect()
+        if len(rows) > cls.MOST:
+            raise ValueError(f"over {cls.MOST} n-grams")
+        return {r.gram: r.n for r in rows}
+
+    def _cost(self, gram: str) -> float:
+        p = 1 / self.alphabet
+        for n in range(1, self.order + 1):
+            part = gram[self.order - n :]
+            p = (self.counts.get(part, 0) + 2 * p) / (self.contexts.get(part[:-1], 0) + 2)
+        return -math.log(p)
+
     def __call__(self, text: str) -> float:
-        s = "\u0002" * (self.order - 1) + text + "\u0003"
-        total = 0.0
-        for e in range(self.order - 1, len(s)):
-            p = 1 / self.alphabet
-            for n in range(1, self.order + 1):
-                gram = s[e - n + 1 : e + 1]
-                seen = self.contexts.get(gram[:-1], 0)
-                p = (self.counts.get(gram, 0) + 2 * p) / (seen + 2)
-            total -= np.log(p)
-        return total / max(1, len(s) - self.order + 1)
+        s, o, costs = "\u0002" * (self.order - 1) + text + "\u0003", self.order, self.costs
+        return sum(costs[s[i : i + o]] for i in range(len(s) - o + 1)) / max(1, len(s) - o + 1)
 
 
 def lm_score(model: Callable[[], Callable[[str], float]], name: str, layer: str = "norm") -> Modifier:

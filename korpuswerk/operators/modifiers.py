@@ -150,6 +150,17 @@ class NgramReplacer:
         return out + target[at:], hit
 
 
+def ngram_hits(mapping: dict[tuple[str, ...], tuple[str, ...]]) -> Callable[[Column | str], Column]:
+    """A column function: for each list of tokens every place of every mapped n-gram, as structs of gram and places."""
+    replacer = NgramReplacer(mapping)
+
+    @F.pandas_udf("array<struct<gram: array<string>, places: array<int>>>")
+    def find(tok: pd.Series) -> pd.Series:
+        return tok.map(lambda t: None if t is None else [{"gram": list(g), "places": list(places)} for g, places in replacer.hits(list(t))])
+
+    return find
+
+
 def replace_ntom(mapping: dict[tuple[str, ...], tuple[str, ...]], source_layer: str = "orig", target_layer: str = "norm", transliterate_source: bool = False) -> Modifier:
     """Find n-grams in one layer and put m-grams into the other, through the alignment. A row in which any n-gram is found
     is respaced by the detokeniser and aligned. Rows with lang_de = 0, if there is such a column, stay as they are."""

@@ -204,15 +204,9 @@ SELECT basename, par_idx, i::BIGINT AS at, n, gram FROM n WHERE gram IN ({", ".j
 )
 def ntom_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every place of every n-gram of the mapping."""
-    grams = {" ".join(k) for k in C.MANY_TO_MANY}
-
-    def places(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size("orig_tok") - n), lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.array_join(F.slice("orig_tok", i + 1, n), " ").alias("gram")))
-
-    cols = [places(n) for n in _SIZES]
-    found = [F.when(F.size("orig_tok") >= n, F.filter(c, lambda x: x["gram"].isin(grams))).otherwise(F.array()) for n, c in zip(_SIZES, cols, strict=True)]
-    df = C.sentences(spark, sf_dir).select("basename", "par_idx", F.explode(F.concat(*found)).alias("x"))
-    return df.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), F.col("x.at").cast("bigint").alias("at"), F.col("x.n").cast("bigint").alias("n"), F.col("x.gram").alias("gram"))
+    found = F.explode(modifiers.ngram_hits(C.MANY_TO_MANY)("orig_tok")).alias("x")
+    df = C.sentences(spark, sf_dir).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), found)
+    return df.select("basename", "par_idx", F.col("x.places")[0].cast("bigint").alias("at"), F.size("x.places").cast("bigint").alias("n"), F.array_join("x.gram", " ").alias("gram"))
 
 
 def _spliced() -> str:
@@ -313,14 +307,30 @@ def lang_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.detect_language()(C.sentences(spark, sf_dir)).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), *models.DETECTORS, "lang_de")
 
 
-@query()
+_ORDER = 4
+_GRAMS = ", ".join(f"coalesce(g{n}.c, 0) AS c{n}, coalesce(x{n}.c, 0) AS d{n}" for n in range(1, _ORDER + 1))
+_JOINS = " ".join(f"LEFT JOIN g g{n} ON g{n}.gram = right(q.gram, {n}) LEFT JOIN x x{n} ON x{n}.gram = left(right(q.gram, {n}), {n - 1}) AND x{n}.n = {n}" for n in range(1, _ORDER + 1))
+
+
+def _likelihood(n: int = _ORDER) -> str:
+    return f"(c{n} + 2 * {_likelihood(n - 1)}) / (d{n} + 2)" if n else "(1 / (SELECT count(*) + 1 FROM g WHERE length(gram) = 1))"
+
+
+@query(
+    f"""WITH {C.SENTENCES}, z AS (SELECT basename, par_idx, lang, repeat(chr(2), {_ORDER - 1}) || orig || chr(3) AS z FROM s),
+p AS (SELECT basename, par_idx, lang, substring(z, i, {_ORDER}) AS gram FROM (SELECT *, unnest(generate_series(1, length(z) - {_ORDER - 1})) AS i FROM z)),
+g AS (SELECT right(gram, n) AS gram, count(*) AS c FROM p, (SELECT unnest(generate_series(1, {_ORDER})) AS n) WHERE lang = 'de' GROUP BY 1),
+x AS (SELECT left(gram, length(gram) - 1) AS gram, length(gram) AS n, sum(c) AS c FROM g GROUP BY 1, 2),
+c AS (SELECT q.gram, {_GRAMS} FROM (SELECT DISTINCT gram FROM p) q {_JOINS}),
+l AS (SELECT gram, -ln({_likelihood()}) AS nll FROM c)
+SELECT basename, par_idx, round(avg(nll), 6) AS nll FROM p JOIN l USING (gram) GROUP BY basename, par_idx"""
+)
 def lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts by a character model of all German sentences. Its distinct n-grams of up to 4 are collected: at most the fourth
-    power of the alphabet, and no more than there are characters in four orders."""
+    """Texts by a character model of all German sentences. Its distinct n-grams of up to 4 are gathered, up to a bound."""
     df = C.sentences(spark, sf_dir)
     seen = df.where("lang = 'de'")
-    sent = spark.sparkContext.broadcast({r.gram: r.n for r in models.CharacterModel.count(seen, "orig").collect()})
-    return models.lm_score(lambda: models.CharacterModel(sent.value), "char4", "orig")(df).select("basename", "par_idx", F.round("orig_char4", 6).alias("nll"))
+    sent = spark.sparkContext.broadcast(models.CharacterModel.gathered(models.CharacterModel.count(seen, "orig")))
+    return models.lm_score(lambda: models.CharacterModel(sent.value), "char4", "orig")(df).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), F.round("orig_char4", 6).alias("nll"))
 
 
 @query(f"WITH {C.SENTENCES}, z AS (SELECT basename, par_idx, 'Das ist zuviel , ' || orig AS x FROM s) SELECT basename, par_idx, regexp_replace(regexp_replace(x, '\\bzuviel\\b', 'zu viel', 'g'), ' +,', ',', 'g') AS norm FROM z")
@@ -397,7 +407,31 @@ def _tab_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = "".join(f"%%$DDC:index[{i}]={long} {short}\n" for i, (long, short) in enumerate([("Token", "w"), ("Utf8", "u"), ("CanonicalToken", "v"), ("Pos", "p"), ("Lemma", "l"), ("WordSep", "ws")]))
     row = "concat_ws('\\t', lower(t), t, concat(t, '_x'), if(t RLIKE '[.,]', '$.', 'N'), 'l', '1')"
     body = f"array_join(transform(split(text, '\\n'), s -> array_join(transform(split(s, ' '), t -> {row}), '\\n')), '\\n\\n')"
-    return C.table(spark, sf_dir, "documents").select(F.concat(F.lit("/data/doc"), "doc_id", F.lit(".TEI.tabs")).alias("path"), F.concat(F.lit(head), F.expr(body), F.lit("\n")).alias("value"))
+    return C.spread(C.table(spark, sf_dir, "documents")).select(F.concat(F.lit("/data/doc"), "doc_id", F.lit(".TEI.tabs")).alias("path"), F.concat(F.lit(head), F.expr(body), F.lit("\n")).alias("value"))
+
+
+_XML_WORDS = r"[\p{L}-]+"
+
+
+def _xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as evaluation XML: every line a sentence, every other one marked bad; words of over three letters have a
+    normal form of two."""
+    word = "concat('<w old=\"', w, '\" new=\"', w, if(length(w) > 3, '_x', ''), '\" class=\"LEX\"/>')"
+    line = f"concat('<s', if(i % 2 = 1, ' sbad=\"1\"', ''), '>', array_join(transform(regexp_extract_all(l, '{_XML_WORDS.replace(chr(92), chr(92) * 2)}', 0), w -> {word}), ''), '</s>')"
+    body = f"concat('<doc><body>', array_join(transform(split(text, '\\n'), (l, i) -> {line}), ''), '</body></doc>')"
+    return C.spread(C.table(spark, sf_dir, "documents")).select(F.concat(F.lit("/x/doc"), "doc_id", F.lit(".xml")).alias("path"), F.expr(body).alias("value"))
+
+
+@query(
+    f"""WITH s AS (SELECT 'doc' || doc_id AS basename, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS par_idx FROM documents),
+t AS (SELECT basename, par_idx, regexp_extract_all(l, '{_XML_WORDS}') AS w FROM s)
+SELECT basename, par_idx::BIGINT AS par_idx, par_idx % 2 = 1 AS is_bad, array_to_string(w, '|') AS orig,
+  array_to_string(list_transform(w, lambda x: CASE WHEN length(x) <= 3 THEN x WHEN x LIKE '%-' THEN x || '|x-' ELSE x || '|x' END), '|') AS norm,
+  array_to_string(list_transform(w, lambda x: 'LEX'), '|') AS classes FROM t"""
+)
+def xml_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = readers.xml_records(_xml_files(spark, sf_dir))
+    return df.select("basename", "par_idx", "is_bad", joined(F.col("orig_tok")).alias("orig"), joined(F.col("norm_tok")).alias("norm"), joined(F.col("orig_class")).alias("classes"))
 
 
 _TABBED = "s AS (SELECT 'doc' || doc_id AS basename, text, unnest(string_split(text, chr(10))[:-2]) AS x, generate_subscripts(string_split(text, chr(10))[:-2], 1) - 1 AS par_idx FROM documents), t AS (SELECT basename, par_idx, unnest(string_split(x, ' ')) AS w, generate_subscripts(string_split(x, ' '), 1) AS i FROM s)"

@@ -25,11 +25,11 @@ MAKERS = {"dtaevalmaker": _made(readers.read_xml), "dtakmaker": _made(readers.re
 
 
 def _lm(spark: SparkSession, layer: str = "norm", model: str = "char4", counts: DataFrame | None = None) -> Modifier:
-    """Scores by a character model of the records themselves; its counts are gathered, so keep the training table small."""
+    """Scores by a character model of the records themselves; their counts are gathered, up to a bound."""
 
     def apply(df: DataFrame) -> DataFrame:
         table = models.CharacterModel.count((counts if counts is not None else df), layer)
-        sent = spark.sparkContext.broadcast({r.gram: r.n for r in table.collect()})
+        sent = spark.sparkContext.broadcast(models.CharacterModel.gathered(table))
         return models.lm_score(lambda: models.CharacterModel(sent.value), model, layer)(df)
 
     return apply

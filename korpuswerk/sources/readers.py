@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import xml.etree.ElementTree as ET
 
 import pandas as pd
@@ -47,7 +48,7 @@ def tab_records(files: DataFrame) -> DataFrame:
         of("lemma").alias("orig_lemma"),
         of("pos").alias("orig_pos"),
         ws.alias("orig_ws"),
-        F.flatten(F.transform(norm, lambda t: F.split(t, "_"))).alias("norm_tok"),
+        F.flatten(F.transform(norm, X.split_underscores)).alias("norm_tok"),
         F.lit(None).cast("array<boolean>").alias("norm_ws"),
     )
 
@@ -91,11 +92,8 @@ def xml_sentence(s: ET.Element) -> tuple[list[str], list[str], list[str]]:
 
 
 def _pieces(token: str) -> list[str]:
-    """At spaces and underscores, if there are any; runs of them and other white space separate once."""
-    if "_" not in token and " " not in token:
-        return [token]
-    out = token.replace("_", " ").split()
-    return [""] * (token[0] in "_ \t\n") + out + [""] * (len(token) > 0 and token[-1] in "_ \t\n" and bool(out))
+    """At runs of underscores and white space, if there is an underscore or a space."""
+    return re.split(r"[_\s]+", token) if "_" in token or " " in token else [token]
 
 
 _TOKENS = T.ArrayType(T.StringType())
@@ -114,8 +112,12 @@ def _parse_xml(content: pd.Series) -> pd.Series:
 
 
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Records of all evaluation XML files under a path, in document order; a file is one row to parse."""
-    files = _whole_files(spark, path)
+    """Records of all evaluation XML files under a path, in document order."""
+    return xml_records(_whole_files(spark, path))
+
+
+def xml_records(files: DataFrame) -> DataFrame:
+    """Records of evaluation XML, from (path, value); a file is one row to parse."""
     rows = files.select(X.basename(F.col("path")).alias("basename"), F.explode(_parse_xml("value")).alias("s"))
     empty = F.lit(None).cast("array<boolean>")
     return rows.select("basename", "s.*", empty.alias("orig_ws"), empty.alias("norm_ws"))
