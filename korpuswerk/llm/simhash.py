@@ -277,3 +277,49 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     first = _grouped(marked, "_k", "_t", ("_th",)).groupBy("root").agg(F.min(F.struct(F.col("_k").isNull().alias("z"), "_k", "_th")).alias("r"))
     kept = first.select("r._k", "r._th")
     return docs.join(kept, docs[key].eqNullSafe(kept["_k"]) & (F.xxhash64(docs[text]) == kept["_th"]), "left_semi")
+
+
+def _xxh64(table: str, column: str) -> str:
+    """SQL queries x0 to x5 that give (column, h): the XXH64 of each text of the table, by 128-bit arithmetic."""
+    # fixed values: the primes of XXH64
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+    m = "18446744073709551616::UHUGEINT"
+
+    def turned(x: str, bits: int | str) -> str:
+        power = f"{1 << bits}::UHUGEINT" if isinstance(bits, int) else bits
+        return f"(({x}) * {power} % {m} + ({x}) * {power} // {m})"
+
+    def lane(first: str, size: int) -> str:
+        return "(" + " + ".join(f"b[{first} + {k + 1}] * {256**k}::UHUGEINT" for k in range(size)) + ")"
+
+    def stripe(i: int, start: str) -> str:
+        return f"list_reduce(list_transform(generate_series(0, n // 32 - 1), lambda j: {lane(f'j * 32 + {8 * i}', 8)}), lambda a, x: {turned(f'(a + x * {p2}) % {m}', 31)} * {p1} % {m}, {start})"
+
+    step = f"list_reduce(steps, lambda a, x: ({turned('xor(a, x.v)', 'x.t')} * x.p + x.q) % {m}, a0)"
+    eights = f"list_transform(generate_series(0, n % 32 // 8 - 1), lambda j: struct_pack(v := {turned(f'{lane("n // 32 * 32 + j * 8", 8)} * {p2} % {m}', 31)} * {p1} % {m}, t := {1 << 27}::UHUGEINT, p := {p1}, q := {p4}))"
+    four = f"CASE WHEN n % 8 >= 4 THEN [struct_pack(v := {lane('n // 8 * 8', 4)} * {p1} % {m}, t := {1 << 23}::UHUGEINT, p := {p2}, q := {p3})] ELSE [] END"
+    ones = f"list_transform(generate_series(n // 4 * 4, n - 1), lambda j: struct_pack(v := b[j + 1] * {p5} % {m}, t := {1 << 11}::UHUGEINT, p := {p1}, q := 0::UHUGEINT))"
+    merged = f"list_reduce([v1, v2, v3, v4], lambda a, v: (xor(a, {turned(f'v * {p2} % {m}', 31)} * {p1} % {m}) * {p1} + {p4}) % {m}, ({turned('v1', 1)} + {turned('v2', 7)} + {turned('v3', 12)} + {turned('v4', 18)}) % {m})"
+    digits = "instr('123456789ABCDEF', substring(hx, {}, 1))::UHUGEINT"
+    return f"""x0 AS (SELECT {column}, hex(encode({column})) AS hx FROM {table}),
+x1 AS (SELECT {column}, length(hx) // 2 AS n, list_transform(generate_series(1, length(hx) // 2), lambda i: {digits.format("2 * i - 1")} * 16::UHUGEINT + {digits.format("2 * i")}) AS b FROM x0),
+x2 AS (SELECT *, {stripe(0, f"({SEED} + {p1} + {p2}) % {m}")} AS v1, {stripe(1, f"({SEED} + {p2}) % {m}")} AS v2, {stripe(2, f"{SEED}::UHUGEINT")} AS v3, {stripe(3, f"({SEED} + {m} - {p1}) % {m}")} AS v4 FROM x1),
+x3 AS (SELECT {column}, (CASE WHEN n >= 32 THEN {merged} ELSE {SEED} + {p5} END + n::UHUGEINT) % {m} AS a0, list_concat(list_concat({eights}, {four}), {ones}) AS steps FROM x2),
+x4 AS (SELECT {column}, CASE WHEN len(steps) > 0 THEN {step} ELSE a0 END AS a FROM x3),
+x5 AS (SELECT {column}, xor(c, c // {1 << 32}::UHUGEINT)::UBIGINT AS h FROM (SELECT {column}, xor(b, b // {1 << 29}::UHUGEINT) * {p3} % {m} AS c FROM (SELECT {column}, xor(a, a // {1 << 33}::UHUGEINT) * {p2} % {m} AS b FROM x4)))"""
+
+
+_BITS = " + ".join(f"(2 * sum((h >> {b}) & 1) > count(*))::UHUGEINT * {1 << b}::UHUGEINT" for b in range(64))
+ORACLE = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT r, unnest(list_transform(generate_series(1, greatest(1, len(w) - {SHINGLE - 1})), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' '))) AS s FROM d WHERE len(w) > 0),
+u AS (SELECT DISTINCT s FROM s),
+{_xxh64("u", "s")},
+f AS (SELECT r, ({_BITS})::UBIGINT AS fp FROM s JOIN x5 USING (s) GROUP BY r),
+g AS (SELECT doc_id, coalesce(fp, 0)::UBIGINT AS fp FROM d LEFT JOIN f USING (r)),
+k AS (SELECT fp, min(doc_id) AS own FROM g GROUP BY fp),
+e AS (SELECT a.fp AS a, b.fp AS b FROM k a JOIN k b ON bit_count(xor(a.fp, b.fp)) <= {RADIUS}),
+c AS (SELECT a, b FROM e UNION SELECT c.a, e.b FROM c JOIN e ON c.b = e.a),
+i AS (SELECT a AS fp, min(own) AS component_id FROM c JOIN k ON c.b = k.fp GROUP BY a)
+SELECT doc_id, lower(lpad(to_hex(fp), 16, '0')) AS fingerprint, component_id FROM g JOIN i USING (fp)
+"""
