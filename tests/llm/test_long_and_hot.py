@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from korpuswerk.llm import fitting, linededup, neardup, pii, runtime, toxicity, urls
+from korpuswerk.llm import ann, ctw, decontaminate, fitting, linededup, neardup, pii, runtime, toxicity, urls
 
 
 def test_words_and_hashes_are_the_same_in_slices(monkeypatch):
@@ -159,3 +159,55 @@ def test_registered_domains_and_suffixes(spark):
     domain, suffix = urls.names(F.col("h"))
     rows = spark.createDataFrame([(h,) for h in want], "h string").select("h", domain.alias("d"), suffix.alias("s")).collect()
     assert {r.h: (r.d, r.s) for r in rows} == want
+
+
+@pytest.mark.parametrize(("n", "every"), [(1000, 20), (6000, 60), (18_000, 360)])
+def test_recall_at_sizes_up_to_more_than_1024_lists(spark, n, every):
+    """Vectors without clusters, the hardest case, in lists of 16: 63, 375 and 1125 lists."""
+    x = np.random.default_rng(6).normal(size=(n, 24))
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    found = {}
+    for r in ann.search(df, every=every, list_size=16).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = 0
+    for q in range(0, n, every):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hit += len(found[q] & set(np.argsort(-s)[:20].tolist()))
+    assert hit / (20 * len(found)) >= 0.9 and len(found) == len(range(0, n, every))
+
+
+def test_lengths_of_vectors_are_searched_apart(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(40)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(0, 41)]
+    got = ann.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert {r.query_id for r in got} == {0, 20, 100, 120, 140} and all((r.query_id < 100) == (r.vec_id < 100) for r in got)
+
+
+def test_decontamination_with_a_common_shingle(spark):
+    """Items whose shingles are everywhere, several blocks, and documents of one word repeated."""
+    items = [(i, "the of and " * 3 + f"w{i} " * (i % 4) + "the of and") for i in range(60)] + [(99, "the the the"), (98, "zz")]
+    docs = [(i, "x " * (i % 5) + items[i % 62][1] + " y") for i in range(80)] + [(200, "the " * 500), (201, None)]
+    df, bench = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    windows = {}
+    for k, t in items:
+        for w in decontaminate.windows_of(decontaminate.words_of(t)):
+            windows.setdefault(w, set()).add(k)
+    for block in (1 << 20, 300):
+        for r in decontaminate.overlaps(df, bench, block_bytes=block).collect():
+            words, hit, own = decontaminate.words_of(dict(docs)[r.doc_id]), set(), set()
+            for w, ids in windows.items():
+                for i in range(len(words) - len(w) + 1):
+                    if tuple(words[i : i + len(w)]) == w:
+                        hit |= set(range(i, i + len(w)))
+                        own |= ids
+            assert {i for i, x in enumerate(r.hit or b"") if x} == hit and set(r["items"] or ()) == own and r.n_words == len(words)
+
+
+def test_scores_of_texts_in_slices(spark, monkeypatch):
+    """A text longer than a pass has the grams it has in one."""
+    data = np.frombuffer(("the an ä" * 40).encode(), np.uint8)
+    offs = np.array([0, len(data)])
+    whole = ctw.grams(data, offs)
+    for size in (1, 7, 50):
+        monkeypatch.setattr(ctw, "PASS_BYTES", size)
+        assert (np.concatenate([g for _, g in ctw.gram_runs(data, offs)]) == whole).all()
