@@ -394,7 +394,46 @@ def author_split_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by.agg(F.sum("n").alias("docs"), F.count("*").alias("authors"), F.count(F.when(F.col("k") > 1, 1)).alias("in_several"), F.count(F.when(F.col("s") != "train", 1)).alias("held_out"))
 
 
-@query()
+def _permuted(name: str, of: str) -> str:
+    """SQL queries up to `name`, which gives p: the seeded permutation of the numbers below n of the one-row query `of`.
+
+    It is the Mersenne twister's, seeded with 42: blocks of 624 numbers, tempered, masked to the size of what is left and
+    passed over where they are too great, as numpy's RandomState does it.
+    """
+    # fixed values: the generator's constants
+    def twisted(a: str, b: str, c: str) -> str:
+        return f"xor(xor({c}, (({a} & 2147483648) | ({b} & 2147483647)) >> 1), CASE WHEN {b} & 1 = 1 THEN 2567483615::UBIGINT ELSE 0::UBIGINT END)"
+
+    return f"""{name}_m AS (
+  SELECT 0 AS k, list_reduce(generate_series(1, 623), lambda a, i: list_append(a, (1812433253::UBIGINT * xor(a[i], a[i] >> 30) + i::UBIGINT) & 4294967295), [42::UBIGINT]) AS mt
+  UNION ALL SELECT k + 1, list_concat(list_concat(p1, p2), p3) FROM (
+    SELECT *, list_transform(generate_series(455, 624), lambda i: {twisted("mt[i]", "CASE WHEN i < 624 THEN mt[i + 1] ELSE p1[1] END", "p2[i - 454]")}) AS p3 FROM (
+      SELECT *, list_transform(generate_series(228, 454), lambda i: {twisted("mt[i]", "mt[i + 1]", "p1[i - 227]")}) AS p2 FROM (
+        SELECT k, mt, list_transform(generate_series(1, 227), lambda i: {twisted("mt[i]", "mt[i + 1]", "mt[i + 397]")}) AS p1 FROM {name}_m WHERE k < 3 + (SELECT n FROM {of}) // 300)))),
+{name}_a AS (SELECT k, i, mt[i] AS a FROM {name}_m, (SELECT unnest(generate_series(1, 624)) AS i) WHERE k > 0),
+{name}_b AS (SELECT k, i, xor(a, a >> 11) AS b FROM {name}_a),
+{name}_c AS (SELECT k, i, xor(b, (b << 7) & 2636928640) AS c FROM {name}_b),
+{name}_d AS (SELECT k, i, xor(c, (c << 15) & 4022730752) AS d FROM {name}_c),
+{name}_w AS (SELECT list(xor(d, d >> 18) ORDER BY k, i) AS w FROM {name}_d),
+{name} AS (
+  SELECT list_reduce(w, lambda s, v: CASE WHEN s.i < 1 OR (v & s.mask) > s.i THEN s ELSE struct_pack(
+      i := s.i - 1, mask := CASE WHEN s.i - 1 <= s.mask >> 1 THEN s.mask >> 1 ELSE s.mask END,
+      p := list_transform(s.p, lambda x, j: CASE WHEN j = s.i + 1 THEN s.p[(v & s.mask)::BIGINT + 1] WHEN j = (v & s.mask) + 1 THEN s.p[s.i::BIGINT + 1] ELSE x END)) END,
+    struct_pack(i := n::UBIGINT - 1, mask := (1::UBIGINT << length(bin(n - 1))) - 1, p := generate_series(0, n - 1))).p AS p FROM {name}_w, {of})"""
+
+
+@query(
+    f"""WITH RECURSIVE {_DOCS}, o AS (SELECT basename, date // 10 * 10 AS decade, genre, author FROM d),
+g AS (SELECT decade, genre, min(basename) AS first FROM o GROUP BY decade, genre),
+u AS (SELECT author, count(*) AS works, min((first, author)) AS first FROM (SELECT DISTINCT decade, genre, author FROM o) JOIN g USING (decade, genre) GROUP BY author),
+a AS (SELECT author, row_number() OVER (ORDER BY works, first) - 1 AS r FROM u),
+n1 AS (SELECT count(*) AS n, ceil(0.2::DOUBLE * count(*))::BIGINT AS held FROM a), n2 AS (SELECT held AS n, ceil(0.5::DOUBLE * held)::BIGINT AS test FROM n1),
+{_permuted("p1", "n1")},
+{_permuted("p2", "n2")},
+x AS (SELECT unnest(p) AS r, generate_subscripts(p, 1) - 1 AS place FROM p1), y AS (SELECT unnest(p) AS place, generate_subscripts(p, 1) - 1 AS place2 FROM p2),
+z AS (SELECT r, CASE WHEN place2 IS NULL THEN 'train' WHEN place2 < test THEN 'test' ELSE 'validation' END AS split FROM n2, x LEFT JOIN y USING (place))
+SELECT basename, split FROM d JOIN a USING (author) JOIN z USING (r)"""
+)
 def author_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.split(split.documents(_orders_as_documents(spark, sf_dir))).select("basename", "split")
 
