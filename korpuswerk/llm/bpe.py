@@ -229,3 +229,27 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id
 
     plain = encoded.drop("decoded")
     return plain.mapInArrow(lean(run), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema) + ", decoded binary")
+
+
+def oracle(ranks_path: str) -> str:
+    """SQL for digests of documents' ids and decoded bytes under the usual pattern: each distinct piece merges its leftmost
+    pair of least rank, step by step. SQL's patterns can't look ahead, so texts are cut first where white space of two
+    characters and more gives its last one to what follows. Tokens go as hexadecimal digits."""
+    space = "\\t-\\r \\x{85}\\p{Z}"
+    pattern = f"''s|''t|''re|''ve|''m|''ll|''d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{space}\\p{{L}}\\p{{N}}]+|[{space}]+"
+    little = "lpad(to_hex(rank & 255), 2, '0') || lpad(to_hex(rank >> 8 & 255), 2, '0') || lpad(to_hex(rank >> 16 & 255), 2, '0') || lpad(to_hex(rank >> 24 & 255), 2, '0')"
+    return f"""WITH RECURSIVE v AS (SELECT hex(from_base64(b)) AS tok, rank FROM read_csv('{ranks_path}', delim = ' ', header = false, quote = '', escape = '', auto_detect = false, columns = {{'b': 'VARCHAR', 'rank': 'BIGINT'}})),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+c AS (SELECT r, unnest(string_split(cut, chr(57344))) AS c, generate_subscripts(string_split(cut, chr(57344)), 1) AS j FROM (SELECT r, regexp_replace(t, '([{space}]+)([{space}][^{space}])', '\\1' || chr(57344) || '\\2', 'g') AS cut FROM d)),
+p AS (SELECT r, j, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (SELECT r, j, regexp_extract_all(c, '{pattern}') AS ps FROM c)),
+u AS (SELECT DISTINCT p, hex(encode(p)) AS h FROM p),
+m AS (
+  SELECT p, 0 AS step, CASE WHEN h IN (SELECT tok FROM v) THEN [h] ELSE list_transform(generate_series(1, length(h) // 2), lambda i: substring(h, 2 * i - 1, 2)) END AS toks FROM u
+  UNION ALL
+  SELECT p, step + 1, list_concat(list_concat(toks[:pos - 1], [toks[pos] || toks[pos + 1]]), toks[pos + 2:]) FROM (
+    SELECT p, any_value(step) AS step, any_value(toks) AS toks, arg_min(pos, rank * 4294967296 + pos) AS pos FROM (
+      SELECT p, step, toks, pos, v.rank FROM (SELECT p, step, toks, unnest(generate_series(1, len(toks) - 1)) AS pos FROM m WHERE len(toks) > 1) x JOIN v ON v.tok = toks[pos] || toks[pos + 1]) GROUP BY p)),
+l AS (SELECT p, arg_max(toks, step) AS toks FROM m GROUP BY p),
+e AS (SELECT p, count(*) AS n, string_agg({little}, '' ORDER BY i) AS ids, string_agg(tok, '' ORDER BY i) AS raw FROM (SELECT p, unnest(toks) AS tok, generate_subscripts(toks, 1) AS i FROM l) JOIN v USING (tok) GROUP BY p),
+o AS (SELECT r, sum(n)::BIGINT AS n_tokens, string_agg(ids, '' ORDER BY j, i) AS ids, string_agg(raw, '' ORDER BY j, i) AS raw FROM p JOIN e USING (p) GROUP BY r)
+SELECT doc_id, coalesce(n_tokens, 0)::BIGINT AS n_tokens, sha256(unhex(coalesce(ids, ''))) AS ids_sha256, sha256(unhex(coalesce(raw, ''))) AS decoded_sha256 FROM d LEFT JOIN o USING (r)"""

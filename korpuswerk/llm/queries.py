@@ -88,4 +88,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracle_sql() -> dict[str, str]:
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
-    return {"op1_benchmark_decontamination": decontaminate.ORACLE, "op5_nearest_neighbours": ann.ORACLE, "op6_line_dedup": linededup.ORACLE, "op7_simhash_near_dedup": simhash.ORACLE, "op8_pii": pii.ORACLE, "op9_url_filters": urls.ORACLE.format(rules=rules)}
+    return {"op1_benchmark_decontamination": decontaminate.ORACLE, "op5_nearest_neighbours": ann.ORACLE, "op6_line_dedup": linededup.ORACLE, "op7_simhash_near_dedup": simhash.ORACLE, "op8_pii": pii.ORACLE, "op9_url_filters": urls.ORACLE.format(rules=rules), "op10_byte_level_bpe": bpe.oracle(public_tokenizers.path("byte_bpe_50k.tiktoken"))}
