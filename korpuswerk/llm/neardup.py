@@ -15,8 +15,9 @@ A shard of more than CHUNK members is dealt in chunks first, by a hash of the me
 further shards by the next hash functions, so that large groups of copies have shrunk to a few leaders by then, and many
 different documents with a passage in common part.
 
-The radius of 24 bits is five standard deviations over the 9.7 bits in which sets of similarity 0.8 differ on average. It
-is too wide for blocks of bits to be shard names, as op7's three bits have.
+Sets of similarity 0.8 differ in 9.7 bits on average, and in more than the radius of 24 in some 3 of a million cases (in 1
+of 8,000 where they have only four and five shingles). It is too wide for blocks of bits to be shard names, as op7's three
+bits have.
 """
 
 from __future__ import annotations
