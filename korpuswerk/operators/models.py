@@ -4,10 +4,11 @@ a parameter; the defaults work offline. They keep the columns' contract, not the
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from korpuswerk.functions import text as X
@@ -34,6 +35,8 @@ COMMON_WORDS = {
 #: Letters and endings that speak for a language.
 LETTER_SIGNS = {"de": "[äöüß]|sch|cht\\b|ung\\b|keit\\b", "en": "th|wh|ing\\b|tion\\b|\\bth", "fr": "[çèêàû]|eux\\b|oi|que\\b", "es": "[ñáíóú¿¡]|ción\\b|mente\\b|os\\b"}
 # ---- end of fixed values ----
+#: What profiles see as one blank.
+NO_LETTERS = r"[\x00-@\[-`{-\xbf]+"
 
 
 def correct_by_rules(rules: set[str], layer: str = "norm", tokenizer: Tokenizer = X.raw2tok) -> Modifier:
@@ -109,6 +112,54 @@ def detect_language(layer: str = "orig", detectors: dict[str, Callable[[Column],
     return apply
 
 
+class LanguageProfiles:
+    """Character trigrams of languages, learned from labelled texts: a text is of the language that makes it likeliest, the
+    first by name of equally likely ones; texts without letters have none."""
+
+    #: Trigrams that the driver gathers at most.
+    MOST = 5_000_000
+
+    def __init__(self, counts: dict[tuple[str, str], int]):
+        self.languages = sorted({lang for lang, _ in counts})
+        grams = {g for _, g in counts}
+        totals = {lang: sum(n for (k, _), n in counts.items() if k == lang) + len(grams) + 1 for lang in self.languages}
+        self.unknown = [-math.log(totals[lang]) for lang in self.languages]
+        self.logs = {g: [math.log((counts.get((lang, g), 0) + 1) / totals[lang]) for lang in self.languages] for g in grams}
+
+    @staticmethod
+    def count(texts: DataFrame, text: str, lang: str) -> DataFrame:
+        """(lang, gram, n) of labelled texts, counted with map-side sums."""
+        plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), NO_LETTERS, " "), F.lit(" "))
+        grams = F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.substring(plain, i, F.lit(3)))
+        known = texts.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(plain) > 2))
+        return known.select(F.col(lang).alias("lang"), F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
+
+    @classmethod
+    def gathered(cls, counted: DataFrame) -> LanguageProfiles:
+        """From count()'s rows; ValueError over MOST."""
+        rows = counted.limit(cls.MOST + 1).collect()
+        if len(rows) > cls.MOST:
+            raise ValueError(f"over {cls.MOST} trigrams")
+        return cls({(r.lang, r.gram): r.n for r in rows})
+
+    def __call__(self, text: str | None) -> str | None:
+        plain = " " + re.sub(NO_LETTERS, " ", text.lower()) + " " if text else ""
+        if not plain.strip() or not self.languages:
+            return None
+        sums = [sum(x) for x in zip(*(self.logs.get(plain[i : i + 3], self.unknown) for i in range(len(plain) - 2)), strict=True)]
+        return self.languages[max(range(len(sums)), key=lambda k: (sums[k], -k))]
+
+    def detector(self, spark: SparkSession) -> Callable[[Column], Column]:
+        """A detector for detect_language()."""
+        sent = spark.sparkContext.broadcast(self)
+
+        @F.pandas_udf("string")
+        def detect(s: pd.Series) -> pd.Series:
+            return s.map(sent.value)
+
+        return detect
+
+
 class _Costs(dict):
     """What the last character of an n-gram costs, worked out once for each n-gram."""
 

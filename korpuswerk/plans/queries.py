@@ -307,6 +307,26 @@ def lang_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.detect_language()(C.sentences(spark, sf_dir)).select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), *models.DETECTORS, "lang_de")
 
 
+_PLAIN = "' ' || regexp_replace(lower(orig), '[\\x00-@\\[-`{-\\x{bf}]+', ' ', 'g') || ' '"
+
+
+@query(
+    f"""WITH {C.SENTENCES}, z AS (SELECT row_number() OVER () AS id, basename, par_idx, lang, {_PLAIN} AS z FROM s),
+p AS (SELECT id, lang, substring(z, i, 3) AS gram FROM (SELECT *, unnest(generate_series(1, length(z) - 2)) AS i FROM z)),
+v AS (SELECT count(DISTINCT gram) AS v FROM p), t AS (SELECT lang, count(*) + v + 1 AS total FROM p, v GROUP BY lang, v),
+g AS (SELECT lang, gram, count(*) AS n FROM p GROUP BY lang, gram),
+l AS (SELECT t.lang, q.gram, ln((coalesce(n, 0) + 1) / total) AS x FROM t CROSS JOIN (SELECT DISTINCT gram FROM p) q LEFT JOIN g ON g.lang = t.lang AND g.gram = q.gram),
+b AS (SELECT id, lang, sum(x) AS x FROM (SELECT id, p.gram, l.lang, x FROM p JOIN l USING (gram)) GROUP BY id, lang),
+m AS (SELECT id, arg_max(lang, x) AS label FROM b GROUP BY id)
+SELECT basename, par_idx, CASE WHEN trim(z) <> '' THEN label END AS label FROM z LEFT JOIN m USING (id)"""
+)
+def lang_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences' languages by profiles of the documents' labelled languages."""
+    df = C.sentences(spark, sf_dir)
+    detect = models.LanguageProfiles.gathered(models.LanguageProfiles.count(df, "orig", "lang")).detector(spark)
+    return df.select("basename", F.col("par_idx").cast("bigint").alias("par_idx"), detect("orig").alias("label"))
+
+
 _ORDER = 4
 _GRAMS = ", ".join(f"coalesce(g{n}.c, 0) AS c{n}, coalesce(x{n}.c, 0) AS d{n}" for n in range(1, _ORDER + 1))
 _JOINS = " ".join(f"LEFT JOIN g g{n} ON g{n}.gram = right(q.gram, {n}) LEFT JOIN x x{n} ON x{n}.gram = left(right(q.gram, {n}), {n - 1}) AND x{n}.n = {n}" for n in range(1, _ORDER + 1))

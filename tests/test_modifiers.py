@@ -165,3 +165,15 @@ def test_split(spark):
 
 def test_a_record_schema_names_both_layers():
     assert {"orig_tok", "norm_spans", "alignment"} <= set(RECORD.names)
+
+
+def test_language_profiles(spark):
+    rows = [("der kleine hund schläft nicht", "de"), ("die große stadt und ihr fluss", "de"), ("the little dog does not sleep", "en"), ("the big town with its river", "en"), (None, "en"), ("x", None)]
+    counted = models.LanguageProfiles.count(spark.createDataFrame(rows, "t string, lang string"), "t", "lang")
+    profiles = models.LanguageProfiles.gathered(counted)
+    assert profiles.languages == ["de", "en"] and profiles("Die kleine Stadt") == "de" and profiles("the town!") == "en"
+    assert profiles(None) is None and profiles("") is None and profiles("12 34") is None
+    assert models.LanguageProfiles({})("der") is None
+    df = spark.createDataFrame([("the river",), (None,)], "orig string")
+    got = models.detect_language(detectors={"a": profiles.detector(spark), "b": models.by_words})(df).collect()
+    assert [r.a for r in got] == ["en", None] and got[0].lang_de == 0.0
