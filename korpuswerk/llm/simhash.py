@@ -265,7 +265,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ke
     Null keys stay; a component with no other key has component_id null.
     """
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return _grouped(docs, key, text, keep).select(F.col(key), hexed.alias("fingerprint"), "component_id", *keep)
+    # the columns in keep go along as one, so that no name can clash
+    kept = [F.struct(*[docs[c].alias(f"x{i}") for i, c in enumerate(keep)]).alias("kept")] if keep else []
+    rows = docs.select(docs[key].alias("k"), docs[text].alias("t"), *kept)
+    grouped = _grouped(rows, "k", "t", ("kept",) if keep else ())
+    return grouped.select(F.col("k").alias(key), hexed.alias("fingerprint"), "component_id", *[F.col(f"kept.x{i}").alias(c) for i, c in enumerate(keep)])
 
 
 def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

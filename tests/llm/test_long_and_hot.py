@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from korpuswerk.llm import ann, ctw, decontaminate, fitting, linededup, neardup, pii, runtime, toxicity, urls
+from korpuswerk.llm import ann, ctw, decontaminate, fitting, linededup, neardup, pii, runtime, simhash, toxicity, urls
 
 
 def test_words_and_hashes_are_the_same_in_slices(monkeypatch):
@@ -211,3 +211,9 @@ def test_scores_of_texts_in_slices(spark, monkeypatch):
     for size in (1, 7, 50):
         monkeypatch.setattr(ctw, "PASS_BYTES", size)
         assert (np.concatenate([g for _, g in ctw.gram_runs(data, offs)]) == whole).all()
+
+
+def test_simhash_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c d", 7, "r", 2.0), (2, "a b c d", 8, None, 3.0)], "doc_id int, text string, fp int, root string, own double")
+    rows = simhash.near_duplicates(df, keep=("fp", "root", "own")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.component_id, r.fp, r.root, r.own) for r in rows] == [(1, 1, 7, "r", 2.0), (2, 1, 8, None, 3.0)]
