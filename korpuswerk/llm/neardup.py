@@ -165,8 +165,9 @@ def _members(dealt: DataFrame, chunk: int) -> DataFrame:
 
 
 def _links(members: DataFrame, kinds: DataFrame, sets: DataFrame, state: DataFrame, least: float, radius: int, chunk: int) -> DataFrame:
-    """(by, s): links from leaders. state: (s, stays) of the documents that take part. members: the first level's shards."""
-    out = None
+    """(by, s), written: links from leaders. state: (s, stays) of the documents that take part. members: the first level's
+    shards."""
+    out, used = None, []
     for level in range(1, LEVELS + 1):
         last = level == LEVELS
         parts = F.lit(1) if last else F.col("parts")
@@ -177,12 +178,18 @@ def _links(members: DataFrame, kinds: DataFrame, sets: DataFrame, state: DataFra
         led = materialize(ordered.mapInArrow(lean(lambda b: _lead(b, least, radius)), "key bigint, s binary, by binary"), "led")
         found = led.where("by IS NOT NULL").select("by", "s")
         out = found if out is None else out.union(found)
+        used.append(led)
         large = members.where("parts > 1").select("key").distinct()
         if last or large.isEmpty():
-            return out
+            break
         # those that lead in a chunk of a large shard meet by further hash functions
         rest = led.where("by IS NULL").join(large, "key", "left_semi").join(sets, "s").select("key", "s", "hs")
-        members = _members(materialize(rest.mapInArrow(lean(lambda b, level=level: _deeper(b, level)), "key bigint, s binary"), "deeper"), chunk)
+        deeper = materialize(rest.mapInArrow(lean(lambda b, level=level: _deeper(b, level)), "key bigint, s binary"), "deeper")
+        members = _members(deeper, chunk)
+        used += [deeper, members]
+    out = materialize(out.distinct(), "links")
+    for t in used:
+        discard(t)
     return out
 
 
@@ -203,22 +210,25 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size
     # the sets themselves are made only for those that share a shard
     again = named.join(some, named["k"].eqNullSafe(some["_k"]) & (named["th"] == some["_th"]), "left_semi").select("t")
     sets = materialize(again.mapInArrow(lean(lambda b: _sets(b, size)), "s binary, hs binary").dropDuplicates(["s"]), "sets")
-    state, gone = members.select("s", F.lit(False).alias("stays")).distinct(), []
+    state, gone, used = members.select("s", F.lit(False).alias("stays")).distinct(), [], [every, members, sets]
     while True:
-        links = materialize(_links(members, kinds, sets, state, least, radius, chunk).distinct(), "links")
+        links = _links(members, kinds, sets, state, least, radius, chunk)
         covered = links.select("s").distinct()
         stay = state.join(covered, "s", "left_anti").select("s")
         out = materialize(links.join(stay.withColumnRenamed("s", "by"), "by", "left_semi").select("s").distinct(), "gone")
         gone.append(out)
         left = materialize(covered.join(out, "s", "left_anti"), "left")
+        used += [links, left]
         if left.isEmpty():
             break
         state = materialize(left.select("s", F.lit(False).alias("stays")).union(stay.select("s", F.lit(True).alias("stays"))), "state")
         keys = members.join(left, "s", "left_semi").select("key").distinct()
         members = materialize(members.join(keys, "key", "left_semi").join(state, "s", "left_semi"), "members")
+        used += [state, members]
+    for t in used:
+        discard(t)
     lost = gone[0]
     for g in gone[1:]:
         lost = lost.union(g)
     kept = kinds.join(lost, "s", "left_anti").select(F.col("first.k").alias("_k"), F.col("first.th").alias("_th"))
-    discard(every)
     return docs.join(kept, docs[key].eqNullSafe(kept["_k"]) & (F.xxhash64(docs[text]) == kept["_th"]), "left_semi")
