@@ -33,7 +33,7 @@ WINDOW = 10
 #: Words of a shingle.
 SHINGLE = 3
 #: Bytes of item text that are broadcast at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 #: Turns text bytes to lower case and all that is in no word to a space.
 _CLEAN = bytes(int(LOWER[b]) if WORDLIKE[LOWER[b]] else 32 for b in range(256))
@@ -68,7 +68,8 @@ class Windows:
     def __init__(self, items: list[tuple[object, str]], size: int = WINDOW, shingle: int = SHINGLE):
         raw = [(t or "").encode() for _, t in items]
         self.text = LOWER[np.frombuffer(b"".join(raw), np.uint8)]
-        self.starts, self.ends, h, wb = hashed_words(self.text, np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64), WORDLIKE)
+        starts, ends, h, wb = hashed_words(self.text, np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64), WORDLIKE)
+        self.starts, self.ends = starts.astype(np.int32), ends.astype(np.int32)
         n = np.diff(wb)
         count = np.where(n > 0, np.maximum(n - size + 1, 1), 0)
         item = np.repeat(np.arange(len(n)), count)
@@ -80,36 +81,47 @@ class Windows:
         order = np.lexsort((item, hashes))
         new = np.ones(len(order), bool)
         new[1:] = hashes[order][1:] != hashes[order][:-1]
-        self.first, self.length, self.hash = first[order][new], length[order][new], hashes[order][new]
+        self.first, self.length, self.hash = first[order][new].astype(np.int32), length[order][new].astype(np.int32), hashes[order][new]
         # the items of each window, by their place among the distinct ids
         self.ids = list(dict.fromkeys(k for k, _ in items if k is not None))
         place = {k: i for i, k in enumerate(self.ids)}
         owner = np.array([place.get(k, -1) for k, _ in items], np.int64)[item[order]] if items else np.zeros(0, np.int64)
         pair = np.unique(np.stack([np.cumsum(new) - 1, owner], 1)[owner >= 0], axis=0).reshape(-1, 2)
-        self.owner, self.owners = pair[:, 1], np.searchsorted(pair[:, 0], np.arange(len(self.first) + 1))
-        # shingles: of each size those of the windows that long (shorter windows are one shingle of their own length)
-        self.sizes: list[tuple[int, HashTable, np.ndarray, np.ndarray]] = []
+        self.owner, self.owners = pair[:, 1].astype(np.int32), np.searchsorted(pair[:, 0], np.arange(len(self.first) + 1)).astype(np.int32)
+        # shingles of the words of the items; an item of fewer words is one shingle of its own length
+        self.sizes: list[tuple[int, HashTable]] = []
+        self.shingles: list[tuple[np.ndarray, np.ndarray]] = []  # of each size its windows, and the number of each word's shingle
         for k in range(1, shingle + 1):
             own = np.flatnonzero(np.minimum(self.length, shingle) == k)
             if len(own):
-                width = int(self.length[own].max()) - k + 1
-                at = self.first[own][:, None] + np.minimum(np.arange(width), (self.length[own] - k)[:, None])
-                names, number = np.unique(_joined(h, at.ravel(), k), return_inverse=True)
-                self.sizes.append((k, HashTable(names), own, number.reshape(at.shape)))
+                at = _places(wb, k) if k == shingle else self.first[own]
+                names, number = np.unique(_joined(h, at, k), return_inverse=True)
+                of = np.zeros(len(h), np.int32)
+                of[at] = number
+                self.sizes.append((k, HashTable(names)))
+                self.shingles.append((own, of))
+
+    def __getstate__(self) -> dict:
+        """What tasks need: not what windows are filed by."""
+        return {k: v for k, v in self.__dict__.items() if k != "shingles"}
 
     def file(self, counts: list[np.ndarray]) -> None:
         """File each window under the rarest of its shingles, the first of equal ones. counts: of each size's shingles."""
         self.filed = []
-        for (k, table, own, number), n in zip(self.sizes, counts, strict=True):
-            offset = n[number].argmin(1)  # places beyond a short window's end repeat its last shingle
-            under = number[np.arange(len(own)), offset]
+        for (k, table), (own, number), n in zip(self.sizes, self.shingles, counts, strict=True):
+            first, last = self.first[own], self.length[own] - k
+            offset, under = np.zeros(len(own), np.int32), number[first]
+            for j in range(1, int(last.max()) + 1):
+                other = number[first + np.minimum(j, last)]
+                better = n[other] < n[under]
+                offset[better], under[better] = j, other[better]
             order = np.argsort(under, kind="stable")
-            self.filed.append((k, table, own[order], offset[order], np.searchsorted(under[order], np.arange(len(table.keys) + 1))))
+            self.filed.append((k, table, own[order].astype(np.int32), offset[order], np.searchsorted(under[order], np.arange(len(table.keys) + 1)).astype(np.int32)))
 
     def count(self, h: np.ndarray, wb: np.ndarray) -> list[np.ndarray]:
         """How often rows of words have each shingle, by size."""
         out = []
-        for k, table, _, _ in self.sizes:
+        for k, table in self.sizes:
             at = table.find(_joined(h, _places(wb, k), k))
             out.append(np.bincount(at[at >= 0], minlength=len(table.keys)))
         return out
@@ -188,7 +200,7 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 discard(before)
             before = state
         windows = Windows(block)
-        sent = spark.sparkContext.broadcast(windows)  # some 30 times the block's bytes
+        sent = spark.sparkContext.broadcast(windows)  # some 12 times the block's bytes
 
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             counts = [np.zeros(len(x[1].keys), np.int64) for x in sent.value.sizes]
