@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset and the session
     is local. On a cluster a local folder would be another one on each machine: ValueError."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local["):
+    if not folder and spark.sparkContext.master.partition("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return (folder or f"file://{OWN_FOLDER}").rstrip("/")
 
