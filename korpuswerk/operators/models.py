@@ -24,6 +24,17 @@ RULES = {
     "BESSERN_VS_BESSEREN": (r"\b([Bb])essern (?=\p{Lu})", "$1esseren "),
     "DOUBLE_SPACE": (r"(?<=\S)  +(?=\S)", " "),
     "SPACE_BEFORE_COMMA": (r" +,", ","),
+    "SPACE_AFTER_COMMA": (r",(?=\p{L})", ", "),
+    "DOUBLE_COMMA": (r",(?:\s*,)+", ","),
+    "GARNICHT": (r"\b([Gg])arnicht(s?)\b", "$1ar nicht$2"),
+    "GARKEIN": (r"\b([Gg])arkein(e[mnrs]?)?\b", "$1ar kein$2"),
+    "VORALLEM": (r"\b([Vv])orallem\b", "$1or allem"),
+    "AUFEINMAL": (r"\b([Aa])ufeinmal\b", "$1uf einmal"),
+    "WIEVIEL": (r"\b([Ww])ieviel(e[nr]?)?\b", "$1ie viel$2"),
+    "DESWEITEREN": (r"\b([Dd])esweiteren\b", "$1es Weiteren"),
+    "STANDART": (r"\bStandart(?=s?\b|isier)", "Standard"),
+    "WIEDERSPIEGELN": (r"\b([Ww])iederspieg(?=el|l)", "$1iderspieg"),
+    "REPEATED_ARTICLE": (r"\b(der|die|das|dem|den|des|ein|eine) \1\b", "$1"),
 }
 #: Function words by language.
 COMMON_WORDS = {

@@ -177,3 +177,16 @@ def test_language_profiles(spark):
     df = spark.createDataFrame([("the river",), (None,)], "orig string")
     got = models.detect_language(detectors={"a": profiles.detector(spark), "b": models.by_words})(df).collect()
     assert [r.a for r in got] == ["en", None] and got[0].lang_de == 0.0
+
+
+def test_every_rule_on_its_own(spark):
+    pairs = {
+        "ZUVIEL": ("Zuviel Wind", "Zu viel Wind"), "ZUWENIG": ("zuwenig", "zu wenig"), "OLD_SPELLING": ("daß er mußte", "dass er musste"), "BESSERN_VS_BESSEREN": ("bessern Zeiten", "besseren Zeiten"),
+        "DOUBLE_SPACE": ("a  b", "a b"), "SPACE_BEFORE_COMMA": ("a , b", "a, b"), "SPACE_AFTER_COMMA": ("a,b 1,5", "a, b 1,5"), "DOUBLE_COMMA": ("a, , b", "a, b"), "GARNICHT": ("Garnichts", "Gar nichts"), "GARKEIN": ("garkeinen", "gar keinen"),
+        "VORALLEM": ("vorallem", "vor allem"), "AUFEINMAL": ("aufeinmal", "auf einmal"), "WIEVIEL": ("Wieviele", "Wie viele"), "DESWEITEREN": ("Desweiteren", "Des Weiteren"), "STANDART": ("Standarte und Standarts", "Standarte und Standards"),
+        "WIEDERSPIEGELN": ("wiederspiegelt", "widerspiegelt"), "REPEATED_ARTICLE": ("in der der Stadt", "in der Stadt"),
+    }
+    assert pairs.keys() == models.RULES.keys()
+    for rule, (old, new) in pairs.items():
+        df = spark.createDataFrame([(old,), (new,)], "norm string")
+        assert [r.norm for r in models.correct_by_rules({rule})(df).select("norm").collect()] == [new, new], rule
