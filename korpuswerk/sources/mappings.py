@@ -33,8 +33,12 @@ def dataset_files(path: str) -> list[str]:
 
 
 def _pairs(paths: list[str], delimiters: str | None) -> list[tuple[str, str]]:
+    """The rows of all files; a path may be a directory or a glob, and FileNotFoundError if there is nothing."""
     out = []
-    for path in paths:
+    for given in paths:
+        if not resolve(given):
+            raise FileNotFoundError(given)
+    for path in (x for given in paths for x in resolve(given)):
         with open(path, newline="", encoding="utf-8") as f:
             dialect = csv.Sniffer().sniff(f.read(SNIFFED), delimiters)
             f.seek(0)

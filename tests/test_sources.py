@@ -110,7 +110,9 @@ def test_mapping_files(spark, tmp_path):
     (tmp_path / "a.tsv").write_text("daß\tdass\nmuß\tmuss\n")
     (tmp_path / "b.tsv").write_text("daß\tdas\nAll '\tAlle\n")
     both = [str(tmp_path / "a.tsv"), str(tmp_path / "b.tsv")]
-    assert mappings.token_to_token(both)["daß"] == "das"
+    assert mappings.token_to_token(both)["daß"] == "das" == mappings.token_to_token([str(tmp_path / "[ab].tsv")])["daß"]
+    with pytest.raises(FileNotFoundError):
+        mappings.token_to_token([str(tmp_path / "none.tsv")])
     assert mappings.ngram_to_ngram([both[1]], "\t")[("All", "'")] == ("Alle",)
     (tmp_path / "bad.tsv").write_text("a\tb\nc\td\te\nf\n")
     with pytest.raises((csv.Error, AssertionError)):
