@@ -163,9 +163,6 @@ def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shard_links(values: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
     """Links from members of groups of two and more to their group's least member, through a BK-tree."""
-    if len(values) == 2:
-        a, b = sorted(values)
-        return [(b, a)] if (a ^ b).bit_count() <= radius else []
     tree = BkTree(radius)
     for v in values:
         tree.add(v)
