@@ -23,7 +23,7 @@ _NONE = np.int32(2**31 - 1)
 #: Longest piece, in bytes, that is merged in a matrix.
 WIDEST = 256
 #: Pieces, and words with what touches them, whose ids a worker remembers, and their greatest length; those last used go last.
-REMEMBERED, REMEMBERED_LENGTH = 80_000, 64
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
 #: The usual pattern of byte-level vocabularies.
 CUT_AT_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -185,7 +185,7 @@ def _loaded(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def _batches(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[pa.Array, list]]:
+def _batches(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Array, list]]:
     """Ids and values of runs of rows of bounded size."""
     n, step = batch.num_rows, max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
     for i in range(0, n, step):
@@ -222,7 +222,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id
         for batch in batches:
             names = batch.schema.names
             at = names.index("token_ids")
-            for i in range(0, batch.num_rows, step := max(1, int(batch.num_rows * (2 << 20) / max(1, batch.nbytes)))):
+            for i in range(0, batch.num_rows, step := max(1, int(batch.num_rows * (4 << 20) / max(1, batch.nbytes)))):
                 part = batch.slice(i, step)
                 made = pa.array([bpe.decode(x or b"") for x in part.column(at).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*names, "decoded"])
