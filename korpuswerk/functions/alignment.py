@@ -6,7 +6,6 @@ from functools import lru_cache
 from heapq import heappop, heappush
 from itertools import accumulate
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -155,10 +154,14 @@ def _cost(src: list[str], trg: list[str]) -> float:
     return FURTHER * (len(src) + len(trg) - 2) + edits(x, y) if src and trg else len(x) + len(y)
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-def align(src: pd.Series, trg: pd.Series) -> pd.Series:
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+def align(src: pa.Array, trg: pa.Array) -> pa.Array:
     """[src, trg] index pairs of two token columns, null for a token left alone; null if either list is."""
-    return pd.Series([None if a is None or b is None else align_tokens(list(a), list(b)) for a, b in zip(src, trg, strict=True)])
+    made = [None if a is None or b is None else align_tokens(a, b) for a, b in zip(src.to_pylist(), trg.to_pylist(), strict=True)]
+    return pa.array(made, pa.list_(pa.list_(pa.int32())))
+
+
+align = align.asNondeterministic()  # see the note on modifiers
 
 
 def swapped(alignment: Column) -> Column:

@@ -6,7 +6,6 @@ import unicodedata
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -134,7 +133,7 @@ def _read(tok: pa.Array, raw: pa.Array) -> pa.Array:
 def spans_ws_from_raw(tok: Column, raw: Column) -> Column:
     """struct(spans, ws) of tokens in a text, reading it from left to right: only U+0020 counts as white space. Tokens that
     begin beyond the text's end get nothing. Both are null if either column is. Time is linear in the text."""
-    return _read(tok, raw)
+    return _read.asNondeterministic()(tok, raw)  # see the note on modifiers
 
 
 def consistent(raw: Column, tok: Column, ws: Column) -> Column:
@@ -147,9 +146,9 @@ def strip(s: Column) -> Column:
     return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
 
 
-@F.pandas_udf(T.StringType())
-def _nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+@F.arrow_udf(T.StringType())
+def _nfkc(s: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else unicodedata.normalize("NFKC", x) for x in s.to_pylist()], pa.string())
 
 
 def transliterate(s: Column) -> Column:
@@ -162,9 +161,9 @@ def transliterate_all(tok: Column) -> Column:
     return F.transform(_nfkc_all(tok), _letters)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _nfkc_all(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else [None if t is None else unicodedata.normalize("NFKC", t) for t in x])
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _nfkc_all(s: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else [None if t is None else unicodedata.normalize("NFKC", t) for t in x] for x in s.to_pylist()], pa.list_(pa.string()))
 
 
 def _letters(s: Column) -> Column:

@@ -1,6 +1,9 @@
 """Record modifiers: each takes a DataFrame of records and gives one back, with text, tokens, flags, spans and alignment
 consistent again. Pairs of the alignment are always (orig, norm), whichever layer a modifier edits.
 
+Python functions that give what later steps read are marked as not deterministic, so that the optimizer keeps their calls in
+steps of their own. Merged with the steps after them it left some calls where they can't run.
+
 Work that needs Python (aligning) is done for changed rows only: rows that stay are given empty lists to align, as Spark runs
 a Python function on every row whatever a condition around it says.
 """
@@ -10,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +34,11 @@ def _hits(tok: Column, mapping: dict[str, list[str]]) -> Column:
         m = F.create_map(*chain.from_iterable((F.lit(k), F.array(*map(F.lit, v))) for k, v in mapping.items()))
         return F.transform(tok, lambda t: m[t])
 
-    @F.pandas_udf("array<array<string>>")
-    def look(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else [mapping.get(t) for t in x])
+    @F.arrow_udf("array<array<string>>")
+    def look(s: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else [mapping.get(t) for t in x] for x in s.to_pylist()], pa.list_(pa.list_(pa.string())))
 
-    return look(tok)
+    return look.asNondeterministic()(tok)
 
 
 def _aligned(changed: Column, orig_tok: Column, norm_tok: Column, old: Column) -> Column:
@@ -154,9 +157,10 @@ def ngram_hits(mapping: dict[tuple[str, ...], tuple[str, ...]]) -> Callable[[Col
     """A column function: for each list of tokens every place of every mapped n-gram, as structs of gram and places."""
     replacer = NgramReplacer(mapping)
 
-    @F.pandas_udf("array<struct<gram: array<string>, places: array<int>>>")
-    def find(tok: pd.Series) -> pd.Series:
-        return tok.map(lambda t: None if t is None else [{"gram": list(g), "places": list(places)} for g, places in replacer.hits(list(t))])
+    @F.arrow_udf("array<struct<gram: array<string>, places: array<int>>>")
+    def find(tok: pa.Array) -> pa.Array:
+        made = [None if t is None else [{"gram": g, "places": places} for g, places in replacer.hits(t)] for t in tok.to_pylist()]
+        return pa.array(made, pa.list_(pa.struct([("gram", pa.list_(pa.string())), ("places", pa.list_(pa.int32()))])))
 
     return find
 
@@ -168,22 +172,16 @@ def replace_ntom(mapping: dict[tuple[str, ...], tuple[str, ...]], source_layer:
         raise ValueError("source and target are the two layers")
     replacer = NgramReplacer(mapping)
 
-    @F.pandas_udf("struct<tok: array<string>, hit: boolean>")
-    def edit(src: pd.Series, trg: pd.Series, alignment: pd.Series) -> pd.DataFrame:
-        rows = []
-        for s, t, a in zip(src, trg, alignment, strict=True):
-            if s is None or t is None or a is None:
-                rows.append((None, False))
-                continue
-            pairs = [(None if p[0] is None or p[0] != p[0] else int(p[0]), None if p[1] is None or p[1] != p[1] else int(p[1])) for p in a]
-            rows.append(replacer.apply(list(s), list(t), pairs))
-        return pd.DataFrame(rows, columns=["tok", "hit"])
+    @F.arrow_udf("struct<tok: array<string>, hit: boolean>")
+    def edit(src: pa.Array, trg: pa.Array, alignment: pa.Array) -> pa.Array:
+        rows = [(None, False) if s is None or t is None or a is None else replacer.apply(s, t, a) for s, t, a in zip(src.to_pylist(), trg.to_pylist(), alignment.to_pylist(), strict=True)]
+        return pa.StructArray.from_arrays([pa.array([tok for tok, _ in rows], pa.list_(pa.string())), pa.array([hit for _, hit in rows], pa.bool_())], ["tok", "hit"])
 
     def apply(df: DataFrame) -> DataFrame:
         require(df.columns, f"{source_layer}_tok", f"{target_layer}_tok", "alignment")
         pairs = F.col("alignment") if source_layer == "orig" else A.swapped(F.col("alignment"))
         tok = F.col(f"{source_layer}_tok")
-        df = df.withColumn("_e", edit(X.transliterate_all(tok) if transliterate_source else tok, F.col(f"{target_layer}_tok"), pairs))
+        df = df.withColumn("_e", edit.asNondeterministic()(X.transliterate_all(tok) if transliterate_source else tok, F.col(f"{target_layer}_tok"), pairs))
         german = F.coalesce(F.col("lang_de") != 0, F.lit(True)) if "lang_de" in df.columns else F.lit(True)
         df = df.withColumn("_changed", F.coalesce(F.col("_e.hit"), F.lit(False)) & german)
         return _rebuilt(df, target_layer, X.detokenize(F.col("_e.tok")), F.col("_e.tok"), True).drop("_e")

@@ -3,6 +3,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from korpuswerk.functions import text as X
 from korpuswerk.operators import checks, models, modifiers, split
 from korpuswerk.operators.modifiers import NgramReplacer
 from korpuswerk.schema import RECORD
@@ -190,3 +191,12 @@ def test_every_rule_on_its_own(spark):
     for rule, (old, new) in pairs.items():
         df = spark.createDataFrame([(old,), (new,)], "norm string")
         assert [r.norm for r in models.correct_by_rules({rule})(df).select("norm").collect()] == [new, new], rule
+
+
+def test_modifiers_in_a_row(spark, wir):
+    many = {f"x{i}": "y" for i in range(40)}
+    df = wir.transform(modifiers.replace_1to1({"alles": "viel"} | many)).transform(modifiers.replace_1ton({"aufeinmal": ["auf", "einmal"]} | {k: ["y"] for k in many}))
+    df = df.transform(modifiers.replace_ntom({("hofften",): ("hofften", "sehr")}, transliterate_source=True)).transform(models.correct(lambda: lambda x: x.replace("sehr", "so sehr"))).transform(modifiers.replace_1to1({"viel": "manches"} | many))
+    r = checks.strict(df.withColumns({"orig_ws": F.expr("transform(orig_tok, (t, i) -> i > 0)"), "orig_spans": X.spans_from_ws(F.col("orig_tok"), F.expr("transform(orig_tok, (t, i) -> i > 0)"))})).first()
+    assert r.norm == "Wir hofften so sehr auf einmal manches zusammenzubringen." and [r.norm[a:b] for a, b in r.norm_spans] == r.norm_tok
+    assert len({p[0] for p in r.alignment} - {None}) == 6
