@@ -141,9 +141,10 @@ class LanguageProfiles:
     def count(texts: DataFrame, text: str, lang: str) -> DataFrame:
         """(lang, gram, n) of labelled texts, counted with map-side sums."""
         plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), NO_LETTERS, " "), F.lit(" "))
-        grams = F.transform(F.sequence(F.lit(1), F.length(plain) - 2), lambda i: F.substring(plain, i, F.lit(3)))
-        known = texts.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(plain) > 2))
-        return known.select(F.col(lang).alias("lang"), F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
+        # a column of single characters first, as a lambda works its text out anew for each place
+        chars = texts.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.split(plain, "").alias("c")).where(F.size("c") > 2)
+        grams = F.transform(F.sequence(F.lit(1), F.size("c") - 2), lambda i: F.concat(F.get("c", i - 1), F.get("c", i), F.get("c", i + 1)))
+        return chars.select("lang", F.explode(grams).alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n"))
 
     @classmethod
     def gathered(cls, counted: DataFrame) -> LanguageProfiles:
