@@ -11,6 +11,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ _NONE = np.int32(2**31 - 1)
 WIDEST = 256
 #: Pieces, and words with what touches them, whose ids a worker remembers, and their greatest length; those last used go last.
 REMEMBERED, REMEMBERED_LENGTH = 100_000, 64
+#: Bytes of rows that are encoded at once.
+BATCH = 4 << 20
+#: Words whose pieces are held at once, and cells of a matrix.
+AT_ONCE, CELLS = 1 << 15, 1 << 17
 #: The usual pattern of byte-level vocabularies.
 CUT_AT_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -31,7 +36,8 @@ CUT_AT_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 class Bpe:
     """A vocabulary of ranks. File lines: the token's bytes in base64, a space, its rank."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, most: int = REMEMBERED):
+        """most: entries that a memo takes before it ages."""
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
         self.pattern = regex.compile(pattern)
@@ -47,6 +53,7 @@ class Bpe:
         self.pairs, self.made = HashTable(np.array(keys, np.int64)), np.array([*made, _NONE], np.int32)
         #: In the usual pattern a space between two other characters always begins a piece: texts are cut there.
         self.cuts = pattern == CUT_AT_SPACES
+        self.most = most
         self.chunks: list[dict] = [{}, {}, {}]
         self.pieces: list[dict] = [{}, {}, {}]
 
@@ -136,7 +143,7 @@ class Bpe:
                 else:
                     by[n] = [(p, raw)]
         for k, found in by.items():
-            step = max(1, (1 << 19) // k)
+            step = max(1, CELLS // k)
             for i in range(0, len(found), step):
                 part = found[i : i + step]
                 out.update(zip((p for p, _ in part), self.merge_matrix([r for _, r in part]), strict=True))
@@ -148,7 +155,7 @@ class Bpe:
         young, old, long = memo
         for k in long:
             young.pop(k, None)
-        if len(young) > REMEMBERED:
+        if len(young) > self.most:
             young, old = {}, young
         new = keys - young.keys()
         young.update((k, old[k]) for k in new & old.keys())
@@ -158,22 +165,34 @@ class Bpe:
 
     def encode_chunks(self, chunks: set[str]) -> dict[str, bytes | None]:
         """Ids of a space and what follows it up to the next; None if white space touches either end of that."""
-        find = self.pattern.findall
-        split = {c: None if not c or c[0].isspace() or c[-1].isspace() else find(f" {c}") for c in chunks}
-        ids = self.encode_pieces({p for s in split.values() if s for p in s})
-        return {c: None if s is None else b"".join([ids[p] for p in s]) for c, s in split.items()}
+        find, out, todo = self.pattern.findall, {}, iter(chunks)
+        while part := list(islice(todo, AT_ONCE)):
+            one: dict[str, str] = {}
+            split = {c: None if not c or c[0].isspace() or c[-1].isspace() else tuple([one.setdefault(p, p) for p in find(f" {c}")]) for c in part}
+            ids = self.encode_pieces(one.keys())
+            out.update((c, None if s is None else ids[s[0]] if len(s) == 1 else b"".join([ids[p] for p in s])) for c, s in split.items())
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian 32-bit integers."""
-        split = [t.split(" ") for t in texts] if self.cuts else [[] for _ in texts]
-        ids = self.remembered({c for s in split for c in s[1:]}, self.chunks, self.encode_chunks) if self.cuts else {}
-        out: list[bytes | None] = []
-        for s in split:
+        """Ids of each text, as little-endian 32-bit integers. Texts are split once to gather what is new and once more to
+        join, so that the words of one text are held at a time, and each piece of all texts once."""
+        chunks: set[str] = set()
+        if self.cuts:
+            for t in texts:
+                chunks.update(t.split(" ")[1:])
+        ids = self.remembered(chunks, self.chunks, self.encode_chunks)
+        del chunks
+        tails: list[bytes] = []
+        heads: list[list[str]] = []
+        find, one = self.pattern.findall, {}
+        for t in texts:
+            s = t.split(" ") if self.cuts else [t]
             rest = [ids[c] for c in s[1:]]
-            out.append(None if not self.cuts or None in rest or s[0] and s[0][-1].isspace() or not s[0] and rest else b"".join(rest))
-        whole = [self.pattern.findall(t) if o is None else self.pattern.findall(s[0]) for t, o, s in zip(texts, out, split, strict=True)]
-        ids = self.remembered({p for s in whole for p in s}, self.pieces, self.encode_pieces)
-        return [b"".join([ids[p] for p in w]) + (o or b"") for w, o in zip(whole, out, strict=True)]
+            whole = not self.cuts or None in rest or s[0] and s[0][-1].isspace() or not s[0] and rest
+            tails.append(b"" if whole else b"".join(rest))
+            heads.append([one.setdefault(p, p) for p in find(t if whole else s[0])])
+        ids = self.remembered(one.keys(), self.pieces, self.encode_pieces)
+        return [b"".join([ids[p] for p in w]) + o for w, o in zip(heads, tails, strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for."""
@@ -181,11 +200,11 @@ class Bpe:
 
 
 @lru_cache(2)
-def _loaded(path: str, pattern: str) -> Bpe:
-    return Bpe(path, pattern)
+def _loaded(path: str, pattern: str, most: int = REMEMBERED) -> Bpe:
+    return Bpe(path, pattern, most)
 
 
-def _batches(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Array, list]]:
+def _batches(batch: pa.RecordBatch, most: int = BATCH) -> Iterator[tuple[pa.Array, list]]:
     """Ids and values of runs of rows of bounded size."""
     n, step = batch.num_rows, max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
     for i in range(0, n, step):
@@ -193,18 +212,19 @@ def _batches(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[pa.Ar
         yield part.column(0), part.column(1).to_pylist()
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", key: str = "doc_id", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", key: str = "doc_id", decoded: bool = False, at_once: int = BATCH, remembered: int = REMEMBERED) -> DataFrame:
     """key, token_ids (binary: little-endian unsigned 32-bit integers), n_tokens; a row for each row of docs. With decoded
     there is also what the ids decode to, made in the same pass, so that a task holds the vocabulary once.
 
     Null and empty texts have no tokens. Null and repeated keys stay as they are; other columns of docs are not read.
-    ranks_path is opened on each executor, as vocabularies are installed there with the library.
+    ranks_path is opened on each executor, as vocabularies are installed there with the library. Fewer bytes at_once and
+    entries remembered take less memory in a worker and more time; the ids are the same.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(ranks_path, pattern)
+        bpe = _loaded(ranks_path, pattern, remembered)
         for batch in batches:
-            for keys, texts in _batches(batch):
+            for keys, texts in _batches(batch, at_once):
                 ids = bpe.encode([t or "" for t in texts])
                 back = [pa.array([bpe.decode(x) for x in ids], pa.binary())] if decoded else []
                 yield pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), *back], ["k", "token_ids", "n_tokens", "decoded"][: 3 + decoded])

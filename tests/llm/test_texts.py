@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import brute
@@ -214,3 +215,18 @@ def test_factorisation_machine(spark, odd):
 
 def test_digests_of_nothing():
     assert brute.pii_row(None)[-1] == hashlib.sha256(b"").hexdigest()
+
+
+def test_bpe_in_little_memory(spark, odd):
+    path, rng = P.path("byte_bpe_50k.tiktoken"), random.Random(2)
+    own, wide = bpe.Bpe(path, P.PATTERN, 10), bpe.Bpe(path, P.PATTERN)
+    few = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(1000)]
+    texts = [" ".join(rng.choices(few, k=300)) for _ in range(1000)]
+    assert [i for t in texts[:20] for i in own.encode([t, " \n".join(few[:5])])] == [i for t in texts[:20] for i in wide.encode([t, " \n".join(few[:5])])]
+    tracemalloc.start()
+    own.encode(texts)  # 2 MB; with the words of all texts at once it took 25 MB
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 15e6
+    lean = bpe.encode(odd, path, P.PATTERN, decoded=True, at_once=100, remembered=2)
+    assert sorted(map(str, lean.collect())) == sorted(map(str, bpe.encode(odd, path, P.PATTERN, decoded=True).collect()))
