@@ -42,11 +42,17 @@ def _plain(line: Column) -> Column:
     return F.trim(F.when(odd, F.regexp_replace(line, "[ \\t\\x0B\\f\\r]+", " ")).otherwise(line))
 
 
+def _spaces(text: str) -> Column:
+    """How many spaces there are; a space is one byte."""
+    return F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit(" "), F.lit("")))
+
+
 def lines(docs: DataFrame, key: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
     """(k, th, ln, w, n, h1, h2): the long enough lines of docs; k and th (a hash of the text) name the document."""
     split = docs.select(docs[key].alias("k"), F.xxhash64(docs[text]).alias("th"), F.posexplode(F.split(docs[text], "\n")).alias("ln", "line"))
-    plain = split.select("k", "th", "ln", _plain(F.col("line")).alias("w"))
-    counted = plain.withColumn("n", F.length("w") - F.length(F.replace("w", F.lit(" "), F.lit(""))) + 1).where(F.col("n") >= min_words)
+    # the generator of one row keeps the condition above what it reads: pushed down, it would make words and count once more
+    plain = split.select("k", "th", "ln", _plain(F.col("line")).alias("w")).select("k", "th", "ln", F.inline(F.array(F.struct("w", _spaces("w").alias("spaces")))))
+    counted = plain.select("k", "th", "ln", "w", (F.col("spaces") + 1).alias("n")).where(F.col("spaces") >= min_words - 1)
     return counted.withColumn("h1", F.xxhash64("w")).withColumn("h2", F.xxhash64(F.lit(1), "w"))
 
 
@@ -55,13 +61,19 @@ def _order() -> Column:
     return F.struct(F.col("k").isNull().alias("z"), "k", "th", "ln")
 
 
-def _halves() -> Column:
-    """Keys of the words before and after the middle, as the longer and as the shorter line of a pair."""
-    parts = []
-    for size in ("n", "n + 1"):
-        half = f"(({size}) DIV 2)"
-        parts += [f"xxhash64({size}, 'before', substring_index(w, ' ', {half}))", f"xxhash64({size}, 'after', substring_index(w, ' ', -(({size}) - {half})))"]
-    return F.expr(f"array({', '.join(parts)})")
+def _halved(every: DataFrame) -> DataFrame:
+    """every with halves: keys of the words before and after the middle, as the longer and as the shorter line of a pair.
+
+    The middle is sought once, as the halves of n words and of n + 1 differ in one word at most: with n even the latter half
+    begins one word earlier, with n odd the first half ends one word later. Rests are cut as bytes.
+    """
+    cut = every.withColumn("a", F.expr("substring_index(w, ' ', n DIV 2)"))
+    cut = cut.withColumn("b", F.expr("substring(CAST(w AS BINARY), if(n = 1, 1, octet_length(a) + 2))")).withColumn("even", F.expr("n % 2 = 0"))
+    one = "if(even, octet_length(substring_index(a, ' ', -1)), octet_length(substring_index(CAST(b AS STRING), ' ', 1)))"
+    cut = cut.withColumn("one", F.expr(one)).withColumn("ha", F.expr("xxhash64('before', a)")).withColumn("hb", F.expr("xxhash64('after', b)"))
+    cut = cut.withColumn("hc", F.expr("if(even, xxhash64('after', substring(CAST(w AS BINARY), octet_length(a) - one + 1)), xxhash64('before', substring(CAST(w AS BINARY), 1, octet_length(a) + 1 + one)))"))
+    made = "array(xxhash64(n, ha), xxhash64(n, hb), xxhash64(n + 1, if(even, ha, hc)), xxhash64(n + 1, if(even, hc, hb)))"
+    return cut.select(*every.columns, F.expr(made).alias("halves"))
 
 
 _XOR = "(u, x) -> u ^ x"
@@ -103,7 +115,7 @@ def dropped(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     Null and empty texts have no lines. Rows that repeat both key and text are one document, and lose the same lines.
     """
     every = lines(docs, key, text, min_words)
-    slim = materialize(every.select("k", "th", "ln", "n", "h1", "h2", _halves().alias("halves")), "lines")
+    slim = materialize(_halved(every).select("k", "th", "ln", "n", "h1", "h2", "halves"), "lines")
     shared = slim.select("h1", F.explode("halves").alias("half")).groupBy("half").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi").select("half")
     shared = materialize(shared, "halves")
     ids = materialize(slim.select("h1", F.explode("halves").alias("half")).join(_sized(shared), "half", "left_semi").select("h1").distinct(), "sharing")

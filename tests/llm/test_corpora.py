@@ -196,6 +196,22 @@ def test_line_dedup_against_all_pairs(spark):
     assert linededup.report(df.limit(0)).count() == 0 and linededup.report(df).count() == len(rows)
 
 
+def test_lines_are_made_once_and_halved_right(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["a", "bé", "日本", "x" * 9]) for _ in range(rng.randint(1, 8))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    every = linededup.lines(df, "doc_id", "text", 1)
+    # a condition pushed below the words would have them made once more for each time that it reads them
+    assert every._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    named = {}
+    for r in linededup._halved(every).collect():
+        w = r.w.split(" ")
+        want = [(size, side, *part) for size in (len(w), len(w) + 1) for side, part in (("before", w[: size // 2]), ("after", w[len(w) - (size - size // 2) :]))]
+        for h, x in zip(r.halves, want, strict=True):
+            assert named.setdefault(x, h) == h
+    assert len(named) == len(set(named.values())) and sorted(r.w for r in every.collect()) == sorted(texts)
+
+
 def test_neighbours_reach_the_true_ones(spark):
     rng = np.random.default_rng(3)
     centre = rng.normal(size=(12, 16))
